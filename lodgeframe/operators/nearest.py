@@ -125,7 +125,7 @@ def nearest(
     return (
         matched.withColumnRenamed("id", "source_id")
         .select("source_id", F.posexplode(F.slice(others, 1, limit)).alias("pos", "n"))
-        .select("source_id", F.col("n.id").alias("id"), (F.col("pos") + 1).alias("rank"), F.round("n.km", 2).alias("distance_km"))
+        .select("source_id", F.col("n.id").alias("id"), (F.col("pos") + 1).alias("rank"), F.round("n._exact", 2).alias("distance_km"))
     )
 
 
@@ -137,13 +137,13 @@ def _nearest_per_origin(pairs: DataFrame, candidates: DataFrame, radius_km: floa
     """
     exact = haversine_m(F.col("lat"), F.col("lon"), F.col("t_lat"), F.col("t_lon")) / 1000
     near = pairs.withColumn("_exact", exact).where((F.col("_exact") <= radius_km) & (F.col("_exact") * 1000 <= F.col("bound")))
-    near = near.select("lat", "lon", "t_lat", "t_lon", "first_id", F.round("_exact", RANK_PLACES).alias("km"))
+    near = near.select("lat", "lon", "t_lat", "t_lon", "first_id", F.round("_exact", RANK_PLACES).alias("km"), "_exact")
     by_place = Window.partitionBy("lat", "lon").orderBy("km", "first_id")
     top_places = near.withColumn("_r", F.row_number().over(by_place)).where(F.col("_r") <= keep)
     ids = candidates.select("id", F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"))
     by_id = Window.partitionBy("lat", "lon").orderBy("km", "id")
     top = top_places.join(ids, ["t_lat", "t_lon"]).withColumn("_r", F.row_number().over(by_id)).where(F.col("_r") <= keep)
-    return top.groupBy("lat", "lon").agg(F.array_sort(F.collect_list(F.struct("km", "id"))).alias("near"))
+    return top.groupBy("lat", "lon").agg(F.array_sort(F.collect_list(F.struct("km", "id", "_exact"))).alias("near"))
 
 
 def _offset_rows(df: DataFrame, side: float, reach_m: float) -> DataFrame:

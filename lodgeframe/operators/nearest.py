@@ -24,6 +24,8 @@ RANK_PLACES = 6
 MAX_LEVEL = 22
 AXES = ("x", "y", "z")
 SLACK_M = 0.002
+# Cells of the full radius are compared as they are while none holds more places than this.
+UNSPLIT = 256
 
 
 def within_radius(points: DataFrame, lat: float, lon: float, radius_km: float = 5, limit: int = 20) -> DataFrame:
@@ -64,15 +66,18 @@ def _norm(parts: list[Column]) -> Column:
     return F.sqrt(total.cast("double"))
 
 
-def _crowded_levels(places: DataFrame, finest: int, cap: int) -> int:
-    """Number of halvings until no cell holds more than ``cap`` places; collects one count per level."""
+def _crowded_levels(places: DataFrame, finest: int, cap: int, unsplit: int) -> int:
+    """Number of halvings until no cell holds more than ``cap`` places; collects one count per level.
+
+    No cell is split at all if none holds more than ``unsplit``.
+    """
     tested = [0]
     while tested:
         levels = F.explode(F.array(*[F.lit(n) for n in tested])).alias("level")
         cells = places.select("fx", "fy", "fz", levels).select("level", *_cells(F.col("level"), finest))
         counts = cells.groupBy("level", *[f"c{a}" for a in AXES]).count()
         fullest = dict(counts.groupBy("level").agg(F.max("count")).collect())
-        fitting = [n for n in tested if fullest.get(n, 0) <= cap]
+        fitting = [n for n in tested if fullest.get(n, 0) <= (cap if n else unsplit)]
         if fitting:
             return min(fitting)
         tested = list(range(tested[-1] + 1, min(tested[-1] + 6, finest) + 1))
@@ -94,15 +99,17 @@ def nearest(
     targets: DataFrame,
     radius_km: float = 5,
     limit: int = 20,
-    crowd: int = 256,
+    crowd: int | None = None,
 ) -> DataFrame:
     """For each source the ``limit`` nearest targets within ``radius_km``, the source itself left out.
 
     ``sources`` and ``targets`` carry ``id, lat, lon``; rows without a valid point give nothing. Returns
     ``(source_id, id, rank, distance_km)`` with the distance rounded to two places. Equal distances are
-    ordered by id. ``crowd`` is the number of distinct places above which a cell is split.
+    ordered by id. ``crowd`` is the number of distinct places up to which a cell is not split further,
+    by default twice the number that must be found.
     """
     keep = limit + 1  # the source itself may be among the nearest
+    crowd = crowd or max(16, 2 * keep)
     valid = F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)
     sources = sources.select("id", "lat", "lon").where(valid & F.col("id").isNotNull())
     targets = targets.select("id", "lat", "lon").where(valid & F.col("id").isNotNull())
@@ -111,7 +118,7 @@ def nearest(
     candidates = _smallest_ids_per_place(targets, keep)
     weights = candidates.groupBy("lat", "lon").agg(F.count("*").alias("w"), F.min("id").alias("first_id"))
     places = _grid(weights, side, MAX_LEVEL)
-    depth = _crowded_levels(places, MAX_LEVEL, crowd)
+    depth = _crowded_levels(places, MAX_LEVEL, crowd, max(crowd, UNSPLIT))
     origins = _grid(_places(sources), side, MAX_LEVEL)
 
     if depth == 0:

@@ -18,9 +18,9 @@ from lodgeframe.sources.tables import evolve, exported_documents
 from lodgeframe.streaming.change_events import run_change_stream
 
 ROW = dict(
-    external_id="BC-12908249", feed=11, feed_provider_id="12908249", feed_provider_url="https://www.example.com/x", property_name="Villa Palmilla",
-    property_slug="villa-palmilla", property_type="Vacation Home", city="Port Aransas", country="USA", country_code="us",
-    location_display="Port Aransas, TX, USA", partner_location_id="55180", latlon="SRID=4326;POINT (-97.085391 27.797983)", language="en-us",
+    external_id="BC-1812", feed=11, feed_provider_id="1812", feed_provider_url="https://www.example.com/x", property_name="Casa Lumen",
+    property_slug="casa-lumen", property_type="Country House", city="Al Kut", country="Iraq", country_code="us",
+    location_display="Old Harbour 4, Al Kut", partner_location_id="L-77", latlon="SRID=4326;POINT (45.8185 32.5128)", language="en-us",
     star_rating=3, review_score_general=Decimal("8.50"), number_of_review=0, bedroom_count=4, bathroom_count=4, occupancy=12,
     price=Decimal("199.99"), min_stay=1, feature_image="f.jpg", images=["1.jpg", "2.jpg"], family_friendly=False, group_friendly=True,
     amenities=["Parking", "Pool"], amenity_categories=["General"], is_published=True, last_synced_at=datetime(2026, 5, 29, 4, 18, 51),
@@ -40,7 +40,7 @@ def table(spark, *rows):
 def test_search_document(spark):
     d = docs.search_documents(table(spark, ROW)).first().asDict()
     assert len(d) == 28
-    assert d["id"] == "BC-12908249" and d["lonlat"] == [-97.085391, 27.797983] and d["usd_price"] == 199.99 and d["review_score_general"] == 8.5
+    assert d["id"] == "BC-1812" and d["lonlat"] == [45.8185, 32.5128] and d["usd_price"] == 199.99 and d["review_score_general"] == 8.5
     assert d["property_attributes"] == ["Group Friendly", "Free Cancellation"] and d["property_flags"]["is_new"] is True
     assert d["updated_at"] == "2026-05-29T04:18:51" and d["created_at"] is None and d["published"] is True
     bare = docs.search_documents(table(spark, dict(external_id="x"))).first()
@@ -49,14 +49,14 @@ def test_search_document(spark):
 
 def test_export_document_and_embedding_text(spark):
     d = docs.export_documents(table(spark, ROW)).first().asDict(recursive=True)
-    assert (d["Lat"], d["Lng"], d["LocationID"]) == ("27.797983", "-97.085391", "55180")
+    assert (d["Lat"], d["Lng"], d["LocationID"]) == ("32.5128", "45.8185", "L-77")
     assert d["Partner"]["Policies"] == {"CancellationPolicy": "Free cancellation", "CheckinPolicy": "Only adults are allowed to check in", "PetPolicy": "Pets are allowed"}
     p = d["Property"]
     assert p["Image"] == {"Count": 2, "Images": ["1.jpg", "2.jpg"]} and p["ImageAnalysis"] == [] and p["OtherPolicy"] is None
     assert (p["AdultOnly"], p["IsPetFriendly"], p["LongStayFriendlyHome"], p["WorkFriendlyHome"], p["Price"]) == (True, True, True, False, 199.99)
     frame = docs.export_documents(table(spark, ROW, dict(external_id="b"), dict(external_id="c", property_name="Cabin", policy='{"pets_allowed": true, "adults_only_checkin": true}')))
     texts = {r["ID"]: r["t"] for r in frame.select("ID", docs.embedding_text(frame).alias("t")).collect()}
-    assert texts["BC-12908249"] == "Villa Palmilla | Vacation Home | Port Aransas | USA | General | Parking, Pool | pet friendly | adults only | long stay friendly"
+    assert texts["BC-1812"] == "Casa Lumen | Country House | Al Kut | Iraq | General | Parking, Pool | pet friendly | adults only | long stay friendly"
     assert texts["b"] == "" and texts["c"] == "Cabin | pet friendly | adults only"
     bare = frame.where("ID = 'b'").first()
     assert bare["Partner"]["Policies"]["CancellationPolicy"] == "No free cancellation" and bare["Property"]["IsPetFriendly"] is False
@@ -79,16 +79,16 @@ def test_history_store(spark, tmp_path):
         return {**ROW, "last_synced_at": datetime(2026, 1, d, hour), "price": Decimal(price), **more}
 
     store = KeyedStore(spark, str(tmp_path / "kv"), ["property_id", "timestamp"], docs.kv_items(table(spark, ROW)).schema, buckets=4)
-    ids = spark.createDataFrame([("12908249",), ("7",)], "id string")
+    ids = spark.createDataFrame([("1812",), ("7",)], "id string")
     rows = table(
         spark, day(1, 1, "1"), day(1, 9, "2"), day(2, 1, "3"), {**ROW, "last_synced_at": None}, day(3, 1, "9", external_id=""),
         day(1, 1, "5", external_id="BC-7", feed_provider_id="7"), day(4, 1, "6", feed_provider_id="not listed"),
     )
     export_history(rows, ids, store)
     history = {(r["property_id"], r["timestamp"]): float(r["usd_price"]) for r in store.read().collect()}
-    assert history == {("BC-12908249", "20260101"): 2.0, ("BC-12908249", "20260102"): 3.0, ("BC-7", "20260101"): 5.0}
+    assert history == {("BC-1812", "20260101"): 2.0, ("BC-1812", "20260102"): 3.0, ("BC-7", "20260101"): 5.0}
     export_history(table(spark, day(2, 5, "30")), ids, store)
-    one = spark.createDataFrame([("BC-12908249",)], "property_id string")
+    one = spark.createDataFrame([("BC-1812",)], "property_id string")
     assert sorted(float(r["usd_price"]) for r in store.lookup(one).collect()) == [2.0, 30.0]
     key = spark.createDataFrame([("BC-7", "20260101")], "property_id string, timestamp string")
     assert [float(r["usd_price"]) for r in store.lookup(key).collect()] == [5.0]
@@ -118,10 +118,10 @@ def test_vector_points(spark, tmp_path):
     assert export_points(exported, vectors, store) == 2
     assert export_points(exported, vectors, store) == 2  # the same ids again
     stored = {r["payload"]["external_id"]: r for r in store.read().collect()}
-    assert set(stored) == {"BC-12908249", "BC-2"} and len(stored["BC-2"]["payload"]) == 18
+    assert set(stored) == {"BC-1812", "BC-2"} and len(stored["BC-2"]["payload"]) == 18
     assert stored["BC-2"]["payload"]["is_pet_friendly"] is True
     found = similar_listings(store.read()).collect()
-    assert [(r["source_id"], r["external_id"], r["rank"]) for r in found] == [("BC-2", "BC-12908249", 1)]
+    assert [(r["source_id"], r["external_id"], r["rank"]) for r in found] == [("BC-2", "BC-1812", 1)]
 
 
 SITE = Site("https://s.example", {"en": "https://s.example", "en-CA": "https://s.example.ca"})
@@ -218,4 +218,4 @@ def test_change_stream(spark, town, tmp_path):
     current["rows"] = town.withColumn("city", F.lit("Moved"))
     (events / "2.json").write_text('{"feed_provider_ids": ["2"]}\n{"feed_provider_ids": ["2"]}\n')
     run()
-    assert {r["id"]: r["city"] for r in store.read().collect()} == {"BC-1": "Port Aransas", "BC-2": "Moved"}
+    assert {r["id"]: r["city"] for r in store.read().collect()} == {"BC-1": "Al Kut", "BC-2": "Moved"}

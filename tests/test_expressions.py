@@ -23,7 +23,7 @@ def test_html_becomes_plain_text(evaluate, html, plain):
 @pytest.mark.parametrize(
     "name, slug",
     [
-        ("Villa Palmilla", "villa-palmilla"),
+        ("Casa Lumen", "casa-lumen"),
         ("Château d'Été & Spa", "chateau-d-ete-spa"),
         ("Straße 5, Ærø", "strasse-5-aero"),
         ("Łódź – Center", "lodz-center"),
@@ -49,7 +49,7 @@ def test_decimals_that_do_not_fit_are_null(evaluate):
 @pytest.mark.parametrize(
     "lat, lon, point",
     [
-        ("27.797983", "-97.085391", "SRID=4326;POINT (-97.085391 27.797983)"),
+        ("32.5128", "45.8185", "SRID=4326;POINT (45.8185 32.5128)"),
         ("1", "2", "SRID=4326;POINT (2.0 1.0)"),
         ("0.0005", "-0.00025", "SRID=4326;POINT (-0.00025 0.0005)"),
         ("north", "2", None),
@@ -105,7 +105,7 @@ def test_categories_match_without_case(evaluate, a, b, score):
 
 
 def test_point_id_is_the_name_based_uuid(spark):
-    names = ["BC-12908249", "", "Zürich ☃", *[f"BC-{i}" for i in range(300)]]
+    names = ["BC-1812", "", "Zürich ☃", *[f"BC-{i}" for i in range(300)]]
     rows = spark.createDataFrame([(n,) for n in names], "x string").select("x", ids.uuid5_dns(X).alias("u")).collect()
     assert {r["x"]: r["u"] for r in rows} == {n: str(uuid.uuid5(uuid.NAMESPACE_DNS, n)) for n in names}
 
@@ -159,5 +159,5 @@ def test_lastmod_from_text(evaluate, raw, shown):
 
 
 def test_lonlat_order(evaluate):
-    assert evaluate(documents.lonlat(X), row=("SRID=4326;POINT (-97.085391 27.797983)",)) == [-97.085391, 27.797983]
+    assert evaluate(documents.lonlat(X), row=("SRID=4326;POINT (45.8185 32.5128)",)) == [45.8185, 32.5128]
     assert evaluate(documents.lonlat(X), row=("nowhere",)) is None

@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import secret_scan, url_filter
-from lodgeframe.queries.base import table
+from lodgeframe.llm import bpe, secret_scan, sharding, token_files, url_filter
+from lodgeframe.queries.base import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def vocabulary_path(name: str) -> str:
+    """A file of the installed vocabularies, the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -44,3 +51,29 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.spans_text(base), 256).alias("base_sha256"),
         secret_scan.spans_text(F.col("secrets")).alias("spans"),
     )
+
+
+@query("op2_bpe_codec")
+def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = vocabulary_path("byte_bpe_50k.json")
+    tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text"), vocabulary)
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op3_token_files")
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch(spark)}/tokens"
+    token_files.write_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), path, vocabulary_path("word_bpe_49k.json"))
+    return token_files.read_documents(spark, path)
+
+
+@query("op4_two_pass_shuffle")
+def op4_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = sharding.shuffle_into_shards(docs, f"{scratch(spark)}/shards", 16)
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

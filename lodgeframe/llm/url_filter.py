@@ -77,11 +77,15 @@ def grams(url: Column, order: int) -> Column:
     edge = F.lit(EDGE)
     padded = F.concat(F.array(*[edge] * order), codes, F.array(edge))
 
-    def at(i):
-        symbols = [F.element_at(padded, (i - k).cast("int")) for k in range(order, -1, -1)]
-        return reduce(lambda left, right: left * F.lit(1 << BITS) + right, symbols)
+    # Bound as a lambda's variable, the padded symbols are computed once for a URL.
+    def runs(symbols: Column) -> Column:
+        def at(i):
+            run = [F.element_at(symbols, (i - k).cast("int")) for k in range(order, -1, -1)]
+            return reduce(lambda left, right: left * F.lit(1 << BITS) + right, run)
 
-    return F.transform(F.sequence(F.lit(order + 1), F.size(padded)), at)
+        return F.transform(F.sequence(F.lit(order + 1), F.size(symbols)), at)
+
+    return F.element_at(F.transform(F.array(padded), runs), 1)
 
 
 def _probabilities(counts: DataFrame, label: str, order: int) -> DataFrame:

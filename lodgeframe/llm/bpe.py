@@ -17,6 +17,7 @@ from __future__ import annotations
 import functools
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -133,7 +134,9 @@ class Bpe:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the texts and the number of ids of each."""
-        return self.store.ids([self.pieces(t) for t in texts])
+        cut = [self.pieces(t) for t in texts]
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        return self.store.ids(pa.array(list(chain.from_iterable(cut)), pa.string()), sizes)
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -157,12 +160,12 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
         for batch in batches:
-            texts = (t or "" for t in batch.column(text).to_pylist())
-            for first, part in groups(texts):
-                flat, counts = bpe.encode(part)
+            texts = [t or "" for t in batch.column(text).to_pylist()]
+            for first, last in groups(map(len, texts)):
+                flat, counts = bpe.encode(texts[first:last])
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
-                rows = batch.slice(first, len(part))
+                rows = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays([*rows.columns, lists], names=[*rows.schema.names, ids])
 
     return kept.mapInArrow(run, schema)

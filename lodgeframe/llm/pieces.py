@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 # A store is emptied between groups of texts when its pieces or ids exceed this, so a worker's memory is bounded.
-MAX_PIECES, MAX_IDS = 400_000, 8_000_000
-GROUP_CHARACTERS = 1_000_000
+MAX_PIECES, MAX_IDS = 600_000, 8_000_000
+GROUP_CHARACTERS = 4_000_000
 
 
 class PieceStore:
@@ -23,20 +24,22 @@ class PieceStore:
         self._ids = np.zeros(0, np.int32)
         self._starts = np.zeros(1, np.int64)
 
-    def ids(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of the texts, each given as its pieces, and the number of ids of each text."""
+    def ids(self, pieces: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of texts, given as all their pieces and each text's number of them, and its number of ids."""
         if len(self._code) > MAX_PIECES or len(self._ids) > MAX_IDS:
             self._clear()
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         code = self._code
-        new = {p for pieces in texts for p in pieces if p not in code}
+        known = [code.get(p, -1) for p in distinct]
+        new = [p for p, c in zip(distinct, known) if c < 0]
         if new:
-            fresh = list(new)
-            flat, counts = self._encode(fresh)
-            code.update(zip(fresh, range(len(code), len(code) + len(fresh))))
+            flat, counts = self._encode(new)
+            code.update(zip(new, range(len(code), len(code) + len(new))))
+            known = [code[p] for p in distinct]
             self._ids = np.concatenate([self._ids, flat.astype(np.int32)])
             self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(counts)])
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        codes = np.fromiter((code[p] for pieces in texts for p in pieces), np.int64, int(sizes.sum()))
+        codes = np.array(known, np.int64)[coded.indices.to_numpy()]
         begin, count = self._starts[codes], self._starts[codes + 1] - self._starts[codes]
         ends = np.cumsum(count)
         places = np.repeat(begin - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0)
@@ -44,15 +47,13 @@ class PieceStore:
         return self._ids[places], np.diff(edges)
 
 
-def groups(texts: Iterable[str], limit: int = GROUP_CHARACTERS) -> Iterator[tuple[int, list[str]]]:
-    """Runs of consecutive texts with about ``limit`` characters in all, each with the place of its first."""
-    held: list[str] = []
-    first = size = 0
-    for i, text in enumerate(texts):
-        held.append(text)
-        size += len(text)
+def groups(lengths: Iterable[int], limit: int = GROUP_CHARACTERS) -> Iterator[tuple[int, int]]:
+    """(first, last) of runs of consecutive texts with about ``limit`` characters in all; ``last`` is exclusive."""
+    first = size = i = 0
+    for i, length in enumerate(lengths, 1):
+        size += length
         if size >= limit:
-            yield first, held
-            held, first, size = [], i + 1, 0
-    if held:
-        yield first, held
+            yield first, i
+            first, size = i, 0
+    if first < i:
+        yield first, i

@@ -21,20 +21,23 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm.pieces import PieceStore, groups
+from lodgeframe.llm.pieces import MAX_PIECES, PieceStore, groups
 
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
 SAMPLE = 512
-# No pattern or normaliser of the word vocabularies reaches across these, so a text's ids are those of its pieces.
-SPACES = re.compile(r"[ \t\r\n]+")
+# No pattern or normaliser of the word vocabulary reaches across ASCII white space, so a text's ids are those of its
+# pieces; nor from Latin letters to these marks, which it splits off and which no composed character contains.
+WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 BLOCKS = "shard int, block int, start bigint, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, codes binary"
 
 
@@ -108,10 +111,22 @@ def _store(vocabulary: str) -> PieceStore:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
+    def library(pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    words: dict[str, list[int]] = {}
+
     def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        """The vocabulary folds case and never joins a word with the marks after it: such pieces share their words."""
+        if len(words) > MAX_PIECES:
+            words.clear()
+        parts = [(m[1].lower(), m[2]) if (m := WORD_AND_MARKS.fullmatch(p)) else (p, "") for p in pieces]
+        new = [w for w in {w for part in parts for w in part} if w and w not in words]
+        words.update(zip(new, library(new)))
+        words[""] = []
+        ids = [words[a] + words[b] if b else words[a] for a, b in parts]
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for piece in ids for i in piece), np.int64, int(counts.sum())), counts
+        return np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum())), counts
 
     return PieceStore(encode)
 
@@ -138,10 +153,14 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for batch in batches:
-            names = batch.column("key").to_pylist()
-            for first, part in groups(batch.column("text").to_pylist()):
-                flat, sizes = store.ids([[p for p in SPACES.split(t) if p] for t in part])
-                for name, found in zip(names[first:], np.split(flat, np.cumsum(sizes)[:-1])):
+            names, texts = batch.column("key").to_pylist(), batch.column("text")
+            for first, last in groups(pc.binary_length(texts).to_numpy(zero_copy_only=False)):
+                cut = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts.slice(first, last - first)))
+                pieces, text_of = cut.flatten(), pc.list_parent_indices(cut)
+                full_pieces = pc.not_equal(pieces, "")
+                sizes = np.bincount(text_of.filter(full_pieces), minlength=last - first)
+                flat, sizes = store.ids(pieces.filter(full_pieces), sizes)
+                for name, found in zip(names[first:last], np.split(flat, np.cumsum(sizes)[:-1])):
                     keys.append(name)
                     ids.append(np.append(found, END_ID))
                     counts.append(len(found) + 1)

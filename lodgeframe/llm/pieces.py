@@ -8,15 +8,15 @@ import numpy as np
 import pyarrow as pa
 
 # A store is emptied between groups of texts when its pieces or ids exceed this, so a worker's memory is bounded.
-MAX_PIECES, MAX_IDS = 600_000, 8_000_000
-GROUP_CHARACTERS = 4_000_000
+MAX_PIECES, MAX_IDS = 400_000, 8_000_000
+GROUP_CHARACTERS = 1_000_000
 
 
 class PieceStore:
     """Pieces and their ids in one flat array. ``encode`` gets distinct new pieces, gives (flat ids, counts)."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self._encode = encode
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = MAX_PIECES):
+        self._encode, self._most = encode, most
         self._clear()
 
     def _clear(self) -> None:
@@ -26,7 +26,7 @@ class PieceStore:
 
     def ids(self, pieces: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of texts, given as all their pieces and each text's number of them, and its number of ids."""
-        if len(self._code) > MAX_PIECES or len(self._ids) > MAX_IDS:
+        if len(self._code) > self._most or len(self._ids) > MAX_IDS:
             self._clear()
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()

@@ -21,7 +21,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm.pieces import MAX_PIECES, PieceStore, groups
+from lodgeframe.llm.pieces import PieceStore, groups
 
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
 SAMPLE = 512
+# Bound of the words that a worker remembers; pieces with marks are put together anew in each group of texts.
+MAX_WORDS, GROUP_CHARACTERS = 600_000, 4_000_000
 # No pattern or normaliser of the word vocabulary reaches across ASCII white space, so a text's ids are those of its
 # pieces; nor from Latin letters to these marks, which it splits off and which no composed character contains.
 WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
@@ -111,24 +112,22 @@ def _store(vocabulary: str) -> PieceStore:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def library(pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    words: dict[str, list[int]] = {}
+    words: dict[str, bytes] = {}
 
     def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The vocabulary folds case and never joins a word with the marks after it: such pieces share their words."""
-        if len(words) > MAX_PIECES:
+        if len(words) > MAX_WORDS:
             words.clear()
         parts = [(m[1].lower(), m[2]) if (m := WORD_AND_MARKS.fullmatch(p)) else (p, "") for p in pieces]
         new = [w for w in {w for part in parts for w in part} if w and w not in words]
-        words.update(zip(new, library(new)))
-        words[""] = []
+        for begin in range(0, len(new), 50_000):
+            some = new[begin : begin + 50_000]
+            words.update((w, np.array(e.ids, "<i4").tobytes()) for w, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)))
+        words[""] = b""
         ids = [words[a] + words[b] if b else words[a] for a, b in parts]
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum())), counts
+        return np.frombuffer(b"".join(ids), "<i4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
 
-    return PieceStore(encode)
+    return PieceStore(encode, most=0)
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id", text: str = "text", block_tokens: int = BLOCK_TOKENS) -> None:
@@ -154,7 +153,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id
 
         for batch in batches:
             names, texts = batch.column("key").to_pylist(), batch.column("text")
-            for first, last in groups(pc.binary_length(texts).to_numpy(zero_copy_only=False)):
+            for first, last in groups(pc.binary_length(texts).to_numpy(zero_copy_only=False), GROUP_CHARACTERS):
                 cut = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts.slice(first, last - first)))
                 pieces, text_of = cut.flatten(), pc.list_parent_indices(cut)
                 full_pieces = pc.not_equal(pieces, "")

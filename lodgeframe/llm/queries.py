@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import bpe, decontaminate, secret_scan, sharding, token_files, toxicity, url_filter
+from lodgeframe.llm import bpe, decontaminate, ngram_join, secret_scan, sharding, token_files, toxicity, url_filter
 from lodgeframe.queries.base import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_decontamination")
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_ngram_join")
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents"))

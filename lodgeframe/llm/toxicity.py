@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodgeframe.llm.pieces import groups
+
 FIT_TOXIC, FIT_CLEAN = 4_000, 8_000
 FOLDS = 5
 STEM_LETTERS = range(4, 11)
@@ -306,8 +308,9 @@ def _per_text(df: DataFrame, terms: tuple[Term, ...], text: str, fields: list[T.
         scorer = Scorer(list(terms))
         for batch in batches:
             texts = [t or "" for t in batch.column(text).to_pylist()]
-            columns = give(scorer.features(texts))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *[f.name for f in fields]])
+            for first, last in groups(map(len, texts)):
+                columns = [*batch.slice(first, last - first).columns, *give(scorer.features(texts[first:last]))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *[f.name for f in fields]])
 
     return kept.mapInArrow(run, schema)
 

@@ -136,7 +136,7 @@ class Bpe:
         """Flat ids of the texts and the number of ids of each."""
         cut = [self.pieces(t) for t in texts]
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        return self.store.ids(pa.array(list(chain.from_iterable(cut)), pa.string()), sizes)
+        return self.store.gather(self.store.codes(pa.array(list(chain.from_iterable(cut)), pa.string())), sizes)
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")

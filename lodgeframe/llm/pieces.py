@@ -15,8 +15,8 @@ GROUP_CHARACTERS = 1_000_000
 class PieceStore:
     """Pieces and their ids in one flat array. ``encode`` gets distinct new pieces, gives (flat ids, counts)."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = MAX_PIECES):
-        self._encode, self._most = encode, most
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+        self._encode = encode
         self._clear()
 
     def _clear(self) -> None:
@@ -24,10 +24,8 @@ class PieceStore:
         self._ids = np.zeros(0, np.int32)
         self._starts = np.zeros(1, np.int64)
 
-    def ids(self, pieces: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of texts, given as all their pieces and each text's number of them, and its number of ids."""
-        if len(self._code) > self._most or len(self._ids) > MAX_IDS:
-            self._clear()
+    def codes(self, pieces: pa.Array) -> np.ndarray:
+        """The store's number of each piece, after encoding those that are new."""
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         code = self._code
@@ -39,12 +37,19 @@ class PieceStore:
             known = [code[p] for p in distinct]
             self._ids = np.concatenate([self._ids, flat.astype(np.int32)])
             self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(counts)])
-        codes = np.array(known, np.int64)[coded.indices.to_numpy()]
+        return np.array(known, np.int64)[coded.indices.to_numpy()]
+
+    def gather(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of texts, given as the codes of all their pieces and each text's number of them, and its number of
+        ids. A full store is emptied afterwards: codes do not outlive the call."""
         begin, count = self._starts[codes], self._starts[codes + 1] - self._starts[codes]
         ends = np.cumsum(count)
         places = np.repeat(begin - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0)
         edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-        return self._ids[places], np.diff(edges)
+        ids = self._ids[places]
+        if len(self._code) > MAX_PIECES or len(self._ids) > MAX_IDS:
+            self._clear()
+        return ids, np.diff(edges)
 
 
 def groups(lengths: Iterable[int], limit: int = GROUP_CHARACTERS) -> Iterator[tuple[int, int]]:

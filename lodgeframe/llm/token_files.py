@@ -17,10 +17,10 @@ then the text; identical rows lie side by side. Columns other than id and text a
 from __future__ import annotations
 
 import functools
-import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +34,10 @@ from lodgeframe.llm.pieces import PieceStore, groups
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
 SAMPLE = 512
-# Bound of the words that a worker remembers; pieces with marks are put together anew in each group of texts.
-MAX_WORDS, GROUP_CHARACTERS = 600_000, 4_000_000
+GROUP_CHARACTERS = 2_000_000
 # No pattern or normaliser of the word vocabulary reaches across ASCII white space, so a text's ids are those of its
 # pieces; nor from Latin letters to these marks, which it splits off and which no composed character contains.
-WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+WORD_AND_MARKS = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,;:!?]*)$"
 BLOCKS = "shard int, block int, start bigint, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, codes binary"
 
 
@@ -112,22 +111,33 @@ def _store(vocabulary: str) -> PieceStore:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    words: dict[str, bytes] = {}
-
     def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The vocabulary folds case and never joins a word with the marks after it: such pieces share their words."""
-        if len(words) > MAX_WORDS:
-            words.clear()
-        parts = [(m[1].lower(), m[2]) if (m := WORD_AND_MARKS.fullmatch(p)) else (p, "") for p in pieces]
-        new = [w for w in {w for part in parts for w in part} if w and w not in words]
-        for begin in range(0, len(new), 50_000):
-            some = new[begin : begin + 50_000]
-            words.update((w, np.array(e.ids, "<i4").tobytes()) for w, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)))
-        words[""] = b""
-        ids = [words[a] + words[b] if b else words[a] for a, b in parts]
-        return np.frombuffer(b"".join(ids), "<i4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, counts = [np.zeros(0, np.int32)], []
+        for begin in range(0, len(pieces), 50_000):
+            found = [e.ids for e in tokenizer.encode_batch_fast(pieces[begin : begin + 50_000], add_special_tokens=False)]
+            counts += map(len, found)
+            flat.append(np.fromiter(chain.from_iterable(found), np.int32))
+        return np.concatenate(flat), np.array(counts, np.int64)
+
+    return PieceStore(encode)
+
 
-    return PieceStore(encode, most=0)
+def token_ids(texts: pa.Array, store: PieceStore) -> tuple[np.ndarray, np.ndarray]:
+    """Flat ids of the texts and the number of ids of each.
+
+    Pieces between white space are told apart first; those that are a word and marks share the ids of the folded word.
+    """
+    cut = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts))
+    pieces, text_of = cut.flatten(), pc.list_parent_indices(cut)
+    filled = pc.not_equal(pieces, "")
+    sizes = np.bincount(text_of.filter(filled), minlength=len(texts))
+    coded = pieces.filter(filled).dictionary_encode()
+    parts = pc.extract_regex(coded.dictionary, WORD_AND_MARKS)
+    plain = parts.is_valid()
+    words = pc.if_else(plain, pc.utf8_lower(parts.field("word")), coded.dictionary)
+    marks = pc.if_else(plain, parts.field("marks"), "")
+    both = np.column_stack([store.codes(words), store.codes(marks)])[coded.indices.to_numpy()]
+    return store.gather(both.ravel(), 2 * sizes)
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id", text: str = "text", block_tokens: int = BLOCK_TOKENS) -> None:
@@ -154,11 +164,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id
         for batch in batches:
             names, texts = batch.column("key").to_pylist(), batch.column("text")
             for first, last in groups(pc.binary_length(texts).to_numpy(zero_copy_only=False), GROUP_CHARACTERS):
-                cut = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts.slice(first, last - first)))
-                pieces, text_of = cut.flatten(), pc.list_parent_indices(cut)
-                full_pieces = pc.not_equal(pieces, "")
-                sizes = np.bincount(text_of.filter(full_pieces), minlength=last - first)
-                flat, sizes = store.ids(pieces.filter(full_pieces), sizes)
+                flat, sizes = token_ids(texts.slice(first, last - first), store)
                 for name, found in zip(names[first:last], np.split(flat, np.cumsum(sizes)[:-1])):
                     keys.append(name)
                     ids.append(np.append(found, END_ID))

@@ -1,8 +1,10 @@
 """Links between records that share a bucket, and the groups that links make.
 
 ``link_in_buckets`` verifies every pair of nodes that meet in some bucket, once, and returns for each node the sum of
-its links and edges enough to join what hangs together: never the pairs themselves. A bucket of any size is dealt out
-as tiles: its members fall into groups of bounded size and each pair of groups is one tile, so no task holds a bucket.
+its links and edges enough to join what hangs together: never the pairs themselves. Nodes that hang together by shared
+buckets form a family, and a family is dealt out as tiles: its nodes fall into groups of bounded size and each pair of
+groups is one tile, so no task holds a family or a bucket. A family of more than ``FAMILY_PARTS`` groups is dealt out
+bucket by bucket in the same way instead, which reads a node once for each of its buckets but compares no strangers.
 Buckets with equal members count once. Tasks stream tiles from sorted partitions and keep one tile at a time.
 """
 
@@ -19,20 +21,21 @@ from lodgeframe.session import cut_lineage
 
 GROUP_MEMBERS = 512
 GROUP_BYTES = 8 << 20
+FAMILY_PARTS = 8
 
 # Of the payloads of a tile's two groups: which pairs are linked, as a matrix.
 Verify = Callable[[list[bytes], list[bytes]], np.ndarray]
 
 
-def _shared_before(left: list[list[int]], right: list[list[int]], bucket: int) -> np.ndarray:
-    """Whether each pair also meets in a bucket that is numbered lower, and so is verified there."""
+def _share(left: list[list[int]], right: list[list[int]], below: int | None) -> np.ndarray:
+    """Whether each pair shares a bucket (numbered lower than ``below``)."""
     code: dict[int, int] = {}
 
     def places(own: list[list[int]]) -> tuple[list[int], list[int]]:
         rows, columns = [], []
         for i, buckets in enumerate(own):
             for b in buckets:
-                if b < bucket:
+                if below is None or b < below:
                     rows.append(i)
                     columns.append(code.setdefault(b, len(code)))
         return rows, columns
@@ -67,19 +70,21 @@ def _roots(links: np.ndarray) -> np.ndarray:
 
 def _tile(rows: list[tuple], verify: Verify) -> list[tuple[bytes, int, bytes]]:
     """(node, sum of the weights it links to, root) of one tile's nodes that have links."""
-    bucket, i, j = rows[0][:3]
+    tile, family, i, j = rows[0][:4]
     if len(rows) < 2:
         return []
-    left = sorted((r for r in rows if r[3] == i), key=lambda r: r[4])
-    right = left if i == j else sorted((r for r in rows if r[3] == j), key=lambda r: r[4])
+    left = sorted((r for r in rows if r[4] == i), key=lambda r: r[5])
+    right = left if i == j else sorted((r for r in rows if r[4] == j), key=lambda r: r[5])
     if not left or not right:
         return []
-    linked = ~_shared_before([r[6] for r in left], [r[6] for r in right], bucket)
+    own = [r[7] for r in left], [r[7] for r in right]
+    # In a family's tile pairs must share a bucket; in a bucket's tile no lower one, or they are verified there.
+    linked = _share(*own, None) if family else ~_share(*own, tile)
     if i == j:
         np.fill_diagonal(linked, False)
     if not linked.any():
         return []
-    linked &= verify([r[7] for r in left], [r[7] for r in right])
+    linked &= verify([r[8] for r in left], [r[8] for r in right])
     if not linked.any():
         return []
     nodes = left if i == j else left + right
@@ -87,8 +92,8 @@ def _tile(rows: list[tuple], verify: Verify) -> list[tuple[bytes, int, bytes]]:
         whole = np.zeros((len(nodes), len(nodes)), bool)
         whole[: len(left), len(left) :] = linked
         linked = whole | whole.T
-    sums = linked @ np.array([r[5] for r in nodes], np.int64)
-    names = [r[4] for r in nodes]
+    sums = linked @ np.array([r[6] for r in nodes], np.int64)
+    names = [r[5] for r in nodes]
     least = _roots(linked)
     return [(names[k], int(sums[k]), names[least[k]]) for k in np.flatnonzero(sums)]
 
@@ -101,8 +106,8 @@ def _tiles(batches: Iterator[pa.RecordBatch], verify: Verify) -> Iterator[pa.Rec
     held: list[tuple] = []
     found: list[tuple[bytes, int, bytes]] = []
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "part", "node", "weight", "own", "payload"))):
-            if held and held[0][:3] != row[:3]:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("tile", "family", "i", "j", "part", "node", "weight", "own", "payload"))):
+            if held and held[0][:4] != row[:4]:
                 found += _tile(held, verify)
                 held = []
                 if len(found) > 10_000:
@@ -115,18 +120,35 @@ def _tiles(batches: Iterator[pa.RecordBatch], verify: Verify) -> Iterator[pa.Rec
         yield out(found)
 
 
-def shared_buckets(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(bucket, node, parts): members of buckets with two nodes or more, one bucket of those with equal members.
+def _parts(members, size):
+    """Groups that keep each within ``GROUP_MEMBERS`` and, by the mean size, ``GROUP_BYTES``."""
+    return F.least(F.greatest(F.ceil(members / GROUP_MEMBERS), F.ceil(size / GROUP_BYTES)), members).cast("int")
 
-    ``members`` is (bucket bigint, node binary), ``sizes`` (node, size): its bytes in a task. ``parts`` is the number of
-    groups that keeps a group of the bucket within ``GROUP_MEMBERS`` and, by the mean size, ``GROUP_BYTES``.
+
+def shared_buckets(members: DataFrame) -> DataFrame:
+    """(bucket, node, size, parts): members of buckets with two nodes or more, one bucket of those with equal members.
+
+    ``members`` is (bucket bigint, node binary, size): the size of a node's payload in a task.
     """
-    sized = members.join(sizes, "node")
     mark = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"m{seed}") for seed in (1, 2)]
-    buckets = sized.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), *mark).where("n > 1")
+    buckets = members.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), *mark).where("n > 1")
     one = buckets.groupBy("n", "m1", "m2").agg(F.min("bucket").alias("bucket"), F.max("bytes").alias("bytes"))
-    parts = F.greatest(F.ceil(F.col("n") / GROUP_MEMBERS), F.ceil(F.col("bytes") / GROUP_BYTES)).cast("int")
-    return members.join(one.select("bucket", F.least(parts, F.col("n")).cast("int").alias("parts")), "bucket")
+    return members.join(one.select("bucket", _parts(F.col("n"), F.col("bytes")).alias("parts")), "bucket")
+
+
+def _tiled(shared: DataFrame) -> DataFrame:
+    """(tile, family, node, parts): in which tiles a node is dealt out."""
+    low = shared.groupBy("bucket").agg(F.min("node").alias("low"))
+    edges = shared.join(low, "bucket").select(F.col("node").alias("a"), F.col("low").alias("b"))
+    families = cut_lineage(connected(edges))
+    sized = families.join(shared.groupBy("node").agg(F.max("size").alias("size")), "node")
+    parts = sized.groupBy("component").agg(_parts(F.count("*"), F.sum("size")).alias("all"))
+    families = families.join(parts, "component")
+    small = families.where(F.col("all") <= FAMILY_PARTS).select(
+        F.xxhash64("component").alias("tile"), F.lit(True).alias("family"), "node", F.col("all").alias("parts")
+    )
+    large = families.where(F.col("all") > FAMILY_PARTS).select("node")
+    return small.unionByName(shared.join(large, "node").select(F.col("bucket").alias("tile"), F.lit(False).alias("family"), "node", "parts"))
 
 
 def link_in_buckets(shared: DataFrame, nodes: DataFrame, verify: Verify) -> DataFrame:
@@ -135,11 +157,12 @@ def link_in_buckets(shared: DataFrame, nodes: DataFrame, verify: Verify) -> Data
     ``n`` sums up the weights of linked nodes found in one tile; a node has a row for each tile with links of it.
     """
     own = shared.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("own"))
-    rows = shared.join(own.join(nodes, "node"), "node")
-    part = F.pmod(F.xxhash64("node", "bucket"), F.col("parts")).cast("int")
+    rows = _tiled(shared).join(own.join(nodes, "node"), "node")
+    part = F.pmod(F.xxhash64("node", "tile"), F.col("parts")).cast("int")
     rows = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "weight", "own", "payload")
-    dealt = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    ends = F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
+    keys = ["tile", "family", "i", "j"]
+    dealt = rows.select("tile", "family", *ends, "part", "node", "weight", "own", "payload").repartition(*keys).sortWithinPartitions(*keys)
     return dealt.mapInArrow(lambda batches: _tiles(batches, verify), "node binary, n bigint, root binary")
 
 

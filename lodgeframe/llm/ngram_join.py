@@ -3,7 +3,7 @@
 Texts are lower-cased and split at white space; an n-gram is the hash of n words in a row (a shorter text is one
 n-gram). MinHash signatures are cut into bands of ``rows`` values; two texts meet if a band agrees. At similarity s
 they miss each other with probability (1 - s ** rows) ** bands, which ``banding`` keeps under ``miss``: for 0.8 and
-one in a million, 35 bands of 5. Pairs that meet are verified on their full n-gram sets.
+one in a million, 35 bands of 5; at 0.85 it is one in 400 million. Pairs that meet are verified on their full n-gram sets.
 
 Documents with equal sets form one class before any pair is made, so groups of copies cost one row. Band hashes
 alone are shuffled to find shared buckets; sets are made again, for classes in shared buckets only, and verified in
@@ -31,10 +31,12 @@ from pyspark.sql import functions as F
 
 from lodgeframe.llm.links import grouped, link_in_buckets, shared_buckets
 from lodgeframe.llm.pieces import groups
-from lodgeframe.session import cut_lineage
+from lodgeframe.session import broadcast_if_small, cut_lineage
 
 WORDS, THRESHOLD, ROWS, MISS = 5, 0.8, 5, 1e-6
 SEED = 7
+# Up to so many classes of some 100 bytes, counted first, are sent to the texts; beyond that the texts are shuffled.
+BROADCAST_CLASSES = 200_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -178,17 +180,19 @@ def join_documents(
     bands = banding(threshold, rows, miss)
     source = docs.select(F.col(key).cast("bigint").alias("key"), F.unhex(F.md5(text)).alias("mark"), F.col(text).alias("text"))
     found = cut_lineage(_classes(source, words, bands, rows))
-    classes = found.where(F.col("node").isNotNull()).groupBy("node")
     # The example of a class is one document; its set is made again if the class shares a bucket.
-    classes = classes.agg(F.count("*").alias("weight"), F.min("key").alias("least"), F.min(F.struct("key", "mark")).alias("example"), F.max("size").alias("size"))
-    classes = cut_lineage(classes)
-    first = found.select("node", "key", "mark", "buckets").join(
-        classes.select("node", F.col("example.key").alias("key_"), F.col("example.mark").alias("mark_")), "node"
+    classes = found.where(F.col("node").isNotNull()).groupBy("node")
+    classes = classes.agg(
+        F.count("*").alias("weight"),
+        F.min("key").alias("least"),
+        F.min(F.struct("key", "mark")).alias("example"),
+        F.first("size").alias("size"),
+        F.first("buckets").alias("buckets"),
     )
-    first = first.where(F.col("key").eqNullSafe(F.col("key_")) & (F.col("mark") == F.col("mark_")))
-    members = cut_lineage(first.select("node", F.explode("buckets").alias("bucket")).distinct())
-    shared = cut_lineage(shared_buckets(members, classes.select("node", "size")))
-    wanted = shared.select("node").distinct().join(classes, "node").select("node", "weight", F.col("example.key").alias("key_"), F.col("example.mark").alias("mark_"))
+    classes = cut_lineage(classes)
+    shared = cut_lineage(shared_buckets(classes.select(F.explode("buckets").alias("bucket"), "node", "size")))
+    wanted = classes.join(shared.select("node").distinct(), "node", "left_semi")
+    wanted = broadcast_if_small(wanted.select("node", "weight", F.col("example.key").alias("key_"), F.col("example.mark").alias("mark_")), BROADCAST_CLASSES)
     texts = source.join(wanted, source.key.eqNullSafe(wanted.key_) & (source.mark == wanted.mark_)).select("node", "weight", "text")
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -220,15 +220,15 @@ def _pass(docs: DataFrame, chunk: list[tuple[str, list[int]]], text: str, column
 
 
 def with_matches(
-    docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", rate: float = EDIT_RATE
+    docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", rate: float = EDIT_RATE, matches: str = "matches"
 ) -> DataFrame:
     """``docs`` with ``matches``: (item_id, start, end, distance) of every part that resembles an item."""
-    out = docs.drop("matches")
+    out = docs.drop(matches)
     parts = []
     for i, chunk in enumerate(_chunks(items, item_key, item_text, CHUNK_CHARACTERS)):
         parts.append(f"_matches_{i}")
         out = _pass(out, chunk, text, parts[-1], rate, False)
-    return out.withColumn("matches", F.flatten(F.array(*parts))).drop(*parts)
+    return out.withColumn(matches, F.flatten(F.array(*parts))).drop(*parts)
 
 
 def find_matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", rate: float = EDIT_RATE) -> DataFrame:

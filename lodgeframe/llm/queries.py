@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import bpe, cap_filters, decontaminate, ngram_join, secret_scan, sharding, token_files, toxicity, url_filter
+from lodgeframe.llm import bpe, cap_filters, decontaminate, license_scan, ngram_join, secret_scan, sharding, token_files, toxicity, url_filter
 from lodgeframe.queries.base import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,8 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_cap_filters")
 def op7_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_license_scan")
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.find_licenses(table(spark, sf_dir, "documents"))

@@ -138,14 +138,14 @@ def verified(text: Column, rule: Rule) -> Column:
     return F.transform(spans, lambda s: F.struct(F.lit(rule.kind).alias("kind"), s.start.alias("start"), s.end.alias("end")))
 
 
-def find_secrets(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def find_secrets(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, secrets: str = "secrets") -> DataFrame:
     """``docs`` with ``secrets``: spans of all rules by start, then in the order of ``rules``."""
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    asked = docs.drop("secrets").withColumn("_asked", candidates(F.col(text), rules))
+    asked = docs.drop(secrets).withColumn("_asked", candidates(F.col(text), rules))
     tried = [F.when(F.get("_asked", F.lit(i)), verified(F.col(text), rule)).otherwise(none) for i, rule in enumerate(rules)]
     ranked = [F.transform(spans, lambda s, i=i: F.struct(s.start.alias("start"), F.lit(i).alias("rank"), s.alias("span"))) for i, spans in enumerate(tried)]
     ordered = F.sort_array(F.flatten(F.array(*ranked)))
-    return asked.withColumn("secrets", F.transform(ordered, lambda r: r.span)).drop("_asked")
+    return asked.withColumn(secrets, F.transform(ordered, lambda r: r.span)).drop("_asked")
 
 
 def spans_text(spans: Column) -> Column:

@@ -320,9 +320,9 @@ def with_features(df: DataFrame, terms: tuple[Term, ...], text: str) -> DataFram
     return _per_text(df, terms, text, fields, lambda x: [pa.array(x.tolist(), pa.list_(pa.float64()))])
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on)."""
-    fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+def score(docs: DataFrame, model: Model, text: str = "text", score: str = "score", predicted: str = "predicted") -> DataFrame:
+    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on), under the names given."""
+    fields = [T.StructField(score, T.DoubleType()), T.StructField(predicted, T.IntegerType())]
 
     def give(features: np.ndarray) -> list[pa.Array]:
         scores = model.scores(features)

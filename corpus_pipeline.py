@@ -23,7 +23,7 @@ VOCABULARY = "byte_bpe_50k.json"
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labelled ones among them, does not call toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.score(docs, model, score="_score", predicted="_toxic").where("_toxic = 0").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +33,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item, whole or with up to a tenth of its characters edited."""
-    return decontaminate.with_matches(docs, table(spark, sf_dir, "benchmark")).where(F.size("matches") == 0).select(*docs.columns)
+    found = decontaminate.with_matches(docs, table(spark, sf_dir, "benchmark"), matches="_matches")
+    return found.where(F.size("_matches") == 0).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark."""
-    found = secret_scan.find_secrets(docs)
-    masked = F.size("secrets") > 0
-    text = secret_scan.redact(F.col("text"), F.col("secrets"))
+    found = secret_scan.find_secrets(docs, secrets="_secrets")
+    masked = F.size("_secrets") > 0
+    text = secret_scan.redact(F.col("text"), F.col("_secrets"))
     return found.withColumn("n_chars", F.when(masked, F.length(text).cast("bigint")).otherwise(F.col("n_chars"))).withColumn("text", text).select(*docs.columns)
 
 

@@ -140,6 +140,8 @@ class Matcher:
         """(item, start, end, distance) in folded code points, one for each part of ``text`` that resembles an item."""
         found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         failed: set[tuple[int, int, int]] = set()
+        if not self.items:
+            return []
         for last, (length, owners) in self.automaton.iter(text):
             for i, leaf in owners:
                 item = self.items[i]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeframe.llm import bpe, decontaminate, ngram_join, secret_scan, toxicity
-from lodgeframe.llm.queries import vocabulary_path
+from lodgeframe.llm.queries import reach_package, vocabulary_path
 from lodgeframe.queries.base import scratch, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -64,6 +64,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reach_package(spark)
     docs = table(spark, sf_dir, "documents")
     folder = scratch(spark)
     for name, stage in STAGES:

@@ -72,15 +72,46 @@ def _latin_folding() -> tuple[str, str]:
 
 _FOLD_FROM, _FOLD_TO = _latin_folding()
 
+# Latin spellings of Greek and Cyrillic letters, in alphabetical order.
+_GREEK = dict(zip("αβγδεζηθικλμνξοπρσςτυφχψω", "a b g d e z e th i k l m n x o p r s s t u ph kh ps o".split()))
+_CYRILLIC = dict(
+    zip("абвгдеёжзийклмнопрстуфхцчшщыэюяєіїґ", "a b v g d e io zh z i i k l m n o p r s t u f kh ts ch sh shch y e iu ia ie i yi g".split())
+)
+
+
+def _spelled() -> dict[str, str]:
+    """Lower-case letters of both scripts, accented ones by their base letters; hard and soft signs vanish."""
+    out = {**_GREEK, **_CYRILLIC, "ъ": "", "ь": ""}
+    for code in (*range(0x0370, 0x0400), *range(0x1F00, 0x2000)):
+        char = chr(code).lower()
+        base = unicodedata.normalize("NFKD", char)[0]
+        if base in _GREEK:
+            out.setdefault(char, _GREEK[base])
+    return out
+
+
+_SPELLED = _spelled()
+_SINGLE = {c: t for c, t in _SPELLED.items() if len(t) == 1}
+_NOT_LATIN = "[\u0370-\u03ff\u0400-\u04ff\u1f00-\u1fff]"
+
+
+def _romanised(s: Column) -> Column:
+    """Greek and Cyrillic letters in Latin ones; texts without them are passed on as they are."""
+    out = F.translate(F.lower(s), "".join(_SINGLE), "".join(_SINGLE.values()))
+    for letter, spelled in _SPELLED.items():
+        if len(spelled) != 1:
+            out = F.replace(out, F.lit(letter), F.lit(spelled))
+    return F.when(s.rlike(_NOT_LATIN), out).otherwise(s)
+
 
 def slugify(c: Column) -> Column:
-    """ASCII slug: accents folded, other characters become single dashes. NULL gives ''."""
+    """ASCII slug: accents folded, Greek and Cyrillic spelled out, other characters become single dashes. NULL gives ''."""
     s = F.coalesce(c, F.lit(""))
     for entity, char in _ENTITIES.items():
         s = F.replace(s, F.lit(entity), F.lit(char))
     for letter, spelled in _LATIN_MULTI.items():
         s = F.replace(s, F.lit(letter), F.lit(spelled))
-    s = F.lower(F.translate(s, _FOLD_FROM, _FOLD_TO))
+    s = F.lower(F.translate(_romanised(s), _FOLD_FROM, _FOLD_TO))
     s = F.regexp_replace(s, r"[̀-ͯ‘’]", "")  # combining marks, curly apostrophes
     s = F.regexp_replace(s, r"(?<=\d),(?=\d)", "")
     return F.regexp_replace(F.regexp_replace(s, "[^a-z0-9]+", "-"), "^-|-$", "")

@@ -182,7 +182,21 @@ def embeddable(documents: DataFrame) -> DataFrame:
 
 
 def vector_points(documents: DataFrame, vectors: DataFrame) -> DataFrame:
-    """``(point_id, vector, payload)`` for embeddable documents; ``vectors`` is ``(text, vector)``."""
+    """``(point_id, vector, payload)`` of embeddable documents that have a vector; ``vectors`` is ``(text, vector)``."""
+    return _pointed(documents, vectors).where(F.col("vector").isNotNull()).select("point_id", "vector", "payload")
+
+
+def skipped_documents(documents: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``(external_id, reason)`` of documents that become no vector point: no id, no text, or no vector for the text."""
+    text = documents.withColumn("embedding_text", embedding_text(documents))
+    reason = F.when(F.coalesce("ID", F.lit("")) == "", "no id").when(F.col("embedding_text") == "", "no text")
+    unfit = text.select(F.col("ID").alias("external_id"), reason.alias("reason")).where(F.col("reason").isNotNull())
+    lacking = _pointed(documents, vectors).where(F.col("vector").isNull())
+    return unfit.unionByName(lacking.select(F.col("payload.external_id").alias("external_id"), F.lit("no vector").alias("reason")))
+
+
+def _pointed(documents: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Every embeddable document with its point; ``vector`` is NULL where none is known."""
     p, counts = F.col("Property"), F.col("Property.Counts")
     payload = F.struct(
         F.col("ID").alias("external_id"),
@@ -205,5 +219,5 @@ def vector_points(documents: DataFrame, vectors: DataFrame) -> DataFrame:
         _or_false(p["WorkFriendlyHome"]).alias("work_friendly_home"),
     )
     ready = embeddable(documents).withColumn("_key", F.md5("embedding_text"))
-    keyed = vectors.select(F.md5("text").alias("_key"), "vector").dropDuplicates(["_key"])
-    return ready.join(keyed, "_key").select(uuid5_dns(F.col("ID")).alias("point_id"), "vector", payload.alias("payload"))
+    keyed = vectors.where(F.col("vector").isNotNull()).select(F.md5("text").alias("_key"), "vector").dropDuplicates(["_key"])
+    return ready.join(keyed, "_key", "left").select(uuid5_dns(F.col("ID")).alias("point_id"), "vector", payload.alias("payload"))

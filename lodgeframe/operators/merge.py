@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodgeframe import schemas
-from lodgeframe.session import BROADCAST_ROW_LIMIT, at_most
+from lodgeframe.session import BROADCAST_ROW_LIMIT, at_most, broadcast_if_small
 from lodgeframe.sources.tables import evolve
 
 
@@ -80,9 +80,9 @@ def merge_keyed(
 ) -> DataFrame:
     """Upsert ``staged`` (one row per key) into ``current``; columns and types are those of ``current``.
 
-    Keys that are NULL match nothing, as in SQL. A staged side of at most ``broadcast_rows`` rows is
-    broadcast, so the stored table is read in place and never shuffled; a larger one is merged by one
-    full outer join on the key.
+    Keys that are NULL match nothing, as in SQL. Of a staged side of at most ``broadcast_rows`` rows the
+    keys alone are broadcast, so stored rows that it does not touch are read in place and never shuffled;
+    a larger one is merged by one full outer join on the key.
     """
     update_defaults, insert_defaults = update_defaults or {}, insert_defaults or {}
     fields = current.schema.fields
@@ -113,12 +113,13 @@ def merge_keyed(
     def stored_side(f: T.StructField) -> Column:
         return F.when(staged_hit, update(f)).otherwise(F.col(f"t.{f.name}"))
 
-    if at_most(staged, broadcast_rows):
-        kept = target.join(F.broadcast(source), on, "left").select(*[stored_side(f).alias(f.name) for f in fields])
-        keys = staged.select(key)
-        found = current.select(key).join(F.broadcast(keys), key, "left_semi")
-        fresh = staged.join(F.broadcast(found), key, "left_anti").alias("s")
-        return kept.unionByName(fresh.select(*[insert(f).alias(f.name) for f in fields]))
+    if at_most(staged.select(key), broadcast_rows):
+        # Only keys are broadcast: rows that no staged key touches are passed on in place, the few others are joined.
+        keys = F.broadcast(staged.select(key).where(F.col(key).isNotNull()))
+        untouched = current.join(keys, key, "left_anti").select(*[f.name for f in fields])
+        touched = current.join(keys, key, "left_semi").withColumn("_stored", F.lit(True)).alias("t")
+        rows = touched.join(source, on, "right").select(*[F.when(stored_hit, update(f)).otherwise(insert(f)).alias(f.name) for f in fields])
+        return untouched.unionByName(rows)
 
     merged = [F.when(stored_hit, stored_side(f)).otherwise(insert(f)).alias(f.name) for f in fields]
     return target.join(source, on, "full_outer").select(*merged)
@@ -145,6 +146,9 @@ def replace_keyed(current: DataFrame, incoming: DataFrame, keys: list[str]) -> D
 
 def merge_counts(current: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     """One row ``(created, updated)``: staged keys that are new, and those already stored."""
-    stored = current.select(F.col(key).alias("_k")).distinct()
-    joined = staged.select(key).join(stored, F.col(key) == F.col("_k"), "left")
+    keys = staged.select(key)
+    wanted = keys.where(F.col(key).isNotNull()).distinct()
+    # The stored keys are met by the staged ones, so that only those of staged rows are ever grouped.
+    found = current.select(F.col(key).alias("_k")).join(broadcast_if_small(wanted), F.col("_k") == F.col(key), "left_semi").distinct()
+    joined = keys.join(found, F.col(key) == F.col("_k"), "left")
     return joined.agg(F.count_if(F.col("_k").isNull()).alias("created"), F.count_if(F.col("_k").isNotNull()).alias("updated"))

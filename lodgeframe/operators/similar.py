@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,15 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodgeframe.session import at_most, broadcast_if_small, cut_lineage
+from lodgeframe.session import broadcast_if_small, cut_lineage
 
 # The task functions travel with the plan, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Scores are ranked at this many decimal places, then by id.
 RANK_PLACES = 6
-# Query vectors one scan may carry, and the rows of a block in the bulk form.
-QUERY_LIMIT = 2_000
+# About how many query vectors one scan carries (more take more scans), and the rows of a block in the bulk form.
+QUERY_GROUP = 2_000
 BLOCK_ROWS = 4_096
 MAX_PIVOTS = 256
 # Slack for the pruning bound: rounding of scores and of angles.
@@ -68,40 +69,51 @@ def _corpus(vectors: DataFrame, published_only: bool) -> DataFrame:
 def similar_to(vectors: DataFrame, ids: DataFrame, k: int = 5, published_only: bool = True) -> DataFrame:
     """The ``k`` vectors most similar to each of ``ids.id``; unknown ids give no rows.
 
-    ``vectors`` carries ``id, vector, published``. The query vectors travel to the tasks only after a
-    count; a larger set is answered by the bulk form.
+    ``vectors`` carries ``id, vector, published``; NULL vectors are never compared. Query vectors travel to the tasks
+    in groups of about ``QUERY_GROUP``, one scan of the corpus for each, whatever their number.
     """
-    queries = vectors.join(ids.select("id"), "id", "left_semi").select("id", "vector")
-    if not at_most(queries, QUERY_LIMIT):
-        return similar_all(vectors, k, published_only).join(ids.select(F.col("id").alias("source_id")), "source_id", "left_semi")
-    held = queries.toPandas()
-    if held.empty:
-        return _take_top(vectors.select(F.col("id").alias("source_id"), "id", F.lit(0.0).alias("score")).limit(0), k)
-    query_ids, query_matrix = held["id"].to_numpy(), _matrix(held["vector"])
+    known = vectors.where(_usable("vector"))
+    queries = cut_lineage(known.join(ids.select("id"), "id", "left_semi").select("id", "vector"))
+    groups = max(1, -(-queries.count() // QUERY_GROUP))
     id_type = vectors.schema["id"].dataType.simpleString()
+    corpus = _corpus(known, published_only).select("id", "vector")
+    found = [_scan(corpus, queries.where(F.pmod(F.xxhash64("id"), F.lit(groups)) == i).toPandas(), k, id_type) for i in range(groups)]
+    return _take_top(reduce(DataFrame.unionByName, found), k)
+
+
+def _usable(vector: str):
+    """Vectors that can be compared: not NULL, not empty, without NULL parts."""
+    return F.col(vector).isNotNull() & (F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull())
+
+
+def _scan(corpus: DataFrame, held: pd.DataFrame, k: int, id_type: str) -> DataFrame:
+    """Candidates of one group of query vectors: each task keeps ``k`` and one for each of them. Vectors of another
+    length than a query's are not compared with it."""
+    by_length = {n: (g["id"].to_numpy(), _matrix(g["vector"])) for n, g in held.groupby(held["vector"].map(len))} if len(held) else {}
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = None
         for batch in batches:
-            if batch.empty:
-                continue
-            corpus_ids = batch["id"].to_numpy()
-            scores = _scores(query_matrix, _matrix(batch["vector"]))
-            picked = _best(scores, corpus_ids, k + 1)
-            part = pd.DataFrame(
-                {
-                    "source_id": np.repeat(query_ids, [len(p) for p in picked]),
-                    "id": np.concatenate([corpus_ids[p] for p in picked]),
-                    "score": np.concatenate([scores[i, p] for i, p in enumerate(picked)]),
-                }
-            )
-            best = part if best is None else pd.concat([best, part])
-            best = best.sort_values(["source_id", "score", "id"], ascending=[True, False, True]).groupby("source_id").head(k + 1)
+            for length, part in batch.groupby(batch["vector"].map(len)):
+                if length not in by_length:
+                    continue
+                query_ids, query_matrix = by_length[length]
+                corpus_ids = part["id"].to_numpy()
+                scores = _scores(query_matrix, _matrix(part["vector"]))
+                picked = _best(scores, corpus_ids, k + 1)
+                rows = pd.DataFrame(
+                    {
+                        "source_id": np.repeat(query_ids, [len(p) for p in picked]),
+                        "id": np.concatenate([corpus_ids[p] for p in picked]),
+                        "score": np.concatenate([scores[i, p] for i, p in enumerate(picked)]),
+                    }
+                )
+                best = rows if best is None else pd.concat([best, rows])
+                best = best.sort_values(["source_id", "score", "id"], ascending=[True, False, True]).groupby("source_id").head(k + 1)
         if best is not None:
             yield best
 
-    corpus = _corpus(vectors, published_only).select("id", "vector")
-    return _take_top(corpus.mapInPandas(scan, f"source_id {id_type}, id {id_type}, score double"), k)
+    return corpus.mapInPandas(scan, f"source_id {id_type}, id {id_type}, score double")
 
 
 def _pivots(distinct: DataFrame, count: int) -> np.ndarray:
@@ -132,7 +144,7 @@ def similar_all(vectors: DataFrame, k: int = 5, published_only: bool = True, blo
     spark = vectors.sparkSession
     keep = k + 1
     id_type = vectors.schema["id"].dataType.simpleString()
-    keyed = vectors.where(F.col("vector").isNotNull()).select("id", "vector", "published", F.sha2(F.to_json("vector"), 256).alias("key"))
+    keyed = vectors.where(_usable("vector")).select("id", "vector", "published", F.sha2(F.to_json("vector"), 256).alias("key"))
 
     # Equal vectors score alike against everything, so one of them stands for all. Of the copies only
     # the smallest ids can be listed, and the window drops the others before the shuffle.

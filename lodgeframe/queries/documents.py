@@ -13,6 +13,7 @@ from lodgeframe.operators.documents import (
     kv_items,
     property_attributes,
     search_documents,
+    skipped_documents,
     vector_points,
 )
 from lodgeframe.operators.nearest import nearest
@@ -21,7 +22,7 @@ from lodgeframe.operators.sitemap import Site, assign_files, file_name, image_ur
 from lodgeframe.operators.text_vectors import distinct_texts, tfidf_vectors
 from lodgeframe.plans.nearby import similar_listings
 from lodgeframe.queries.base import LISTING_SQL, haversine_sql, listing_rows, query, scratch, table
-from lodgeframe.sinks.exports import export_json, latest_items
+from lodgeframe.sinks.exports import export_json, export_points, latest_items
 from lodgeframe.sinks.keyed_store import KeyedStore
 from lodgeframe.sources.tables import exported_documents, sitemap_rows
 
@@ -215,19 +216,38 @@ def point_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vector points of listings; the vector of a text is a supplied embedding chosen by customer number."""
+    """Vector points of listings."""
     docs = export_documents(listing_rows(spark, sf_dir))
-    texts = docs.select(embedding_text(docs).alias("text"), F.substring_index("ID", "-", -1).cast("bigint").alias("vec_id"))
+    return vector_points(docs, _text_embeddings(spark, sf_dir, docs))
+
+
+def _text_embeddings(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """(text, vector, k): for every document a supplied embedding, chosen by customer number."""
     e = table(spark, sf_dir, "embeddings")
-    vectors = texts.join(e, "vec_id").select("text", F.col("embedding").alias("vector"))
-    return vector_points(docs, vectors)
+    number = F.substring_index("ID", "-", -1).cast("bigint")
+    texts = docs.select(embedding_text(docs).alias("text"), number.alias("k"), (number % e.count()).alias("vec_id"))
+    return texts.join(e, "vec_id").select("text", F.col("embedding").alias("vector"), "k")
+
+
+@query("vector_export", f"""WITH {LISTING_SQL} SELECT external_id, CASE WHEN k % 7 = 0 THEN 'no vector' ELSE 'stored' END AS outcome FROM listing""")
+def vector_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day's documents written as JSON, read back, joined to the vectors of their texts, stored; the rest by reason."""
+    root, day = scratch(spark), "20240102"
+    listings = listing_rows(spark, sf_dir)
+    export_json(listings, f"{root}/documents", day)
+    docs = exported_documents(spark, f"{root}/documents", day, export_documents(listings).schema)
+    vectors = _text_embeddings(spark, sf_dir, docs).where("k % 7 <> 0")
+    store = KeyedStore(spark, f"{root}/points", ["point_id"], vector_points(docs, vectors).schema)
+    export_points(docs, vectors, store)
+    stored = store.read().select(F.col("payload.external_id").alias("external_id"), F.lit("stored").alias("outcome"))
+    return stored.unionByName(skipped_documents(docs, vectors).withColumnRenamed("reason", "outcome"))
 
 
 @query(
     "vector_points",
     f"""WITH {LISTING_SQL} SELECT {_uuid_sql("external_id")} AS point_id, external_id, city, CAST(price AS DOUBLE) AS usd_price, is_published AS published,
       coalesce(pets = 'yes', false) AS is_pet_friendly, coalesce(min_age >= 18, false) AS adult_only, min_stay, round(CAST(embedding[1] AS DOUBLE), 6) AS first
-    FROM listing JOIN embeddings ON vec_id = k""",
+    FROM listing JOIN embeddings ON vec_id = k % (SELECT count(*) FROM embeddings)""",
 )
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vector points: id, vector and payload, upserted into a store and read back."""
@@ -241,7 +261,7 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "similar_listings",
-    f"""WITH {LISTING_SQL}, e AS (SELECT external_id, property_name, city, is_published, CAST(embedding AS DOUBLE[]) AS v FROM listing JOIN embeddings ON vec_id = k),
+    f"""WITH {LISTING_SQL}, e AS (SELECT external_id, property_name, city, is_published, CAST(embedding AS DOUBLE[]) AS v FROM listing JOIN embeddings ON vec_id = k % (SELECT count(*) FROM embeddings)),
     r AS (SELECT a.external_id AS source_id, b.external_id, b.property_name, b.city, round(list_cosine_similarity(a.v, b.v), 6) AS score,
         row_number() OVER (PARTITION BY a.external_id ORDER BY round(list_cosine_similarity(a.v, b.v), 6) DESC, b.external_id) AS rank
       FROM e a JOIN e b ON a.external_id <> b.external_id AND b.is_published)

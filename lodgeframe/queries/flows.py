@@ -150,6 +150,30 @@ def daily_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "sync_rejects",
+    """SELECT 'file is not valid JSON' AS reason, CAST(NULL AS VARCHAR) AS raw_data FROM (SELECT DISTINCT c_custkey // 500 AS chunk FROM customer) WHERE chunk % 3 = 0
+    UNION ALL SELECT 'record is not an object', '"' || c_name || '"' FROM customer WHERE c_custkey // 500 % 3 = 1 AND c_custkey % 10 = 0""",
+)
+def sync_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of a sync whose files are in part cut off and in part mixed with texts that are no records."""
+    root = scratch(spark)
+    k = F.col("c_custkey")
+    chunk = F.floor(k / 500)
+    text = (chunk % 3 == 1) & (k % 10 == 0)
+    value = F.when(text, F.concat(F.lit('"'), "c_name", F.lit('"'))).otherwise(F.to_json(F.struct(k.alias("id"))))
+    rows = table(spark, sf_dir, "customer").select(chunk.alias("chunk"), value.alias("value"))
+    end = F.when(F.col("chunk") % 3 == 0, "").otherwise("]")
+    listed = rows.groupBy("chunk").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",")).alias("value"))
+    folder = f"{root}/feeds/accommodation_details/{DAY}/changed"
+    listed.select(F.concat("value", end).alias("value")).repartition(4).write.option("maxRecordsPerFile", 1).text(folder)
+    _as_json_files(spark, folder, "details")
+    listings = VersionedTable(spark, f"{root}/table")
+    sync_day(spark, f"{root}/feeds", listings, DAY, datetime(2024, 1, 2, tzinfo=timezone.utc), rejects_root=f"{root}/rejects")
+    kept = spark.read.schema("file string, reason string, raw_data string").json(f"{root}/rejects/date={DAY}")
+    return kept.select("reason", "raw_data")
+
+
 @query(
     "change_stream",
     f"""WITH {LISTING_SQL} SELECT external_id AS id, property_name, city, strftime(synced, '%Y-%m-%dT%H:%M:%S') AS updated_at

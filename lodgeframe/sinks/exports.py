@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from lodgeframe.operators.dedup import keep_ids, keep_last
-from lodgeframe.operators.documents import embeddable, export_documents, kv_items, vector_points
+from lodgeframe.operators.documents import export_documents, kv_items, skipped_documents, vector_points
 from lodgeframe.sinks.keyed_store import KeyedStore
 
 
@@ -35,9 +35,9 @@ def export_history(listings: DataFrame, ids: DataFrame, store: KeyedStore) -> No
 
 
 def export_points(documents: DataFrame, vectors: DataFrame, store: KeyedStore) -> int:
-    """Upsert the vector points of ``documents``; returns how many documents had no id or text."""
+    """Upsert the vector points of ``documents``; returns how many documents were skipped for want of id, text or vector."""
     store.upsert(vector_points(documents, vectors))
-    return documents.count() - embeddable(documents).count()
+    return skipped_documents(documents, vectors).count()
 
 
 def write_partitions(rows: DataFrame, writer: Callable[[Iterator[Row]], None]) -> None:

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodgeframe import schemas
 from lodgeframe.operators.dedup import keep_last
@@ -81,30 +82,56 @@ def _as_struct(spark: SparkSession, ddl: str) -> str:
     return ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in fields)
 
 
+WRAPPER = "rental_property"
+
+
+def _records_by_key(spark: SparkSession, files: list[str]) -> DataFrame:
+    """``raw_data``, ``_file``, ``_pos`` of every record, whatever the size of its file; NULL for files that do not parse.
+
+    Spark's reader streams the elements of a list as rows, so only one field of one record must fit in a variant value.
+    The keys come from one inference over all files; each is read as a variant, so unknown keys and shapes survive.
+    """
+    known = spark.createDataFrame([], schemas.RAW_LISTING_DDL).columns
+    inferred = spark.read.option("multiLine", True).json(files).columns
+    keys = {k.lower(): k for k in [*inferred, *known, WRAPPER] if k != "_corrupt_record"}
+    fields = [T.StructField(k, T.VariantType()) for k in keys.values()] + [T.StructField("_unread", T.StringType())]
+    reader = spark.read.schema(T.StructType(fields)).option("multiLine", True).option("columnNameOfCorruptRecord", "_unread")
+    read = reader.json(files).select("*", *_record_order())
+    own = F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys.values() if k != WRAPPER]))
+    record = F.coalesce(F.to_json(WRAPPER), own)
+    return read.select(F.when(F.col("_unread").isNull(), record).alias("raw_data"), "_file", "_pos")
+
+
+def _records_by_element(spark: SparkSession, files: list[str]) -> DataFrame:
+    """The same for files that hold something else than objects: each file is one variant value, element by element."""
+    read = spark.read.option("multiLine", True).option("singleVariantColumn", "doc").json(files)
+    elements = F.when(F.expr("is_variant_null(doc) OR doc IS NULL"), F.array(F.lit(None).cast("variant"))).otherwise(
+        F.coalesce(F.expr("try_variant_get(doc, '$', 'array<variant>')"), F.array(F.coalesce(F.expr(f"try_variant_get(doc, '$.{WRAPPER}', 'variant')"), F.col("doc"))))
+    )
+    rows = read.select(F.col("_metadata.file_path").alias("_file"), F.posexplode(elements).alias("_pos", "record"))
+    return rows.select(F.to_json("record").alias("raw_data"), "_file", F.col("_pos").cast("bigint").alias("_pos"))
+
+
 def raw_listings(spark: SparkSession, root: str, day: str, feed: str = "accommodation_details") -> DataFrame:
     """Whole listing records of both buckets: ``raw_data`` (JSON text), ``_bucket``, ``_file``, ``_pos``.
 
-    Each file is read as one variant value, so keys outside the known schema survive. A file that is
-    not valid JSON yields one row with NULL ``raw_data``; the cleaning step counts it as an error.
+    A file that is not valid JSON yields one row with NULL ``raw_data``, which names it among the rejects. A file in
+    which a list holds anything but objects is read element by element, so its records are not lost with it.
     """
     parts = []
     for order, bucket in enumerate(BUCKETS):
         files = feed_files(spark, root, feed, day, bucket)
         if not files:
             continue
-        reader = spark.read.option("multiLine", True).option("singleVariantColumn", "doc")
-        parts.append(reader.json(files).select("doc", F.lit(order).alias("_bucket"), F.col("_metadata.file_path").alias("_file")))
+        read = _records_by_key(spark, files)
+        # Names of files, which the driver lists anyway.
+        odd = [r["_file"] for r in read.where(F.col("raw_data").isNull()).select("_file").distinct().collect()]
+        if odd:
+            read = read.where(~F.col("_file").isin(odd)).unionByName(_records_by_element(spark, odd))
+        parts.append(read.withColumn("_bucket", F.lit(order)))
     if not parts:
-        return spark.createDataFrame([], "raw_data string, _bucket int, _file string, _pos int")
-    docs = parts[0]
-    for part in parts[1:]:
-        docs = docs.unionByName(part)
-    is_list = F.expr("schema_of_variant(doc) LIKE 'ARRAY%'")
-    elements = F.when(is_list, F.expr("try_variant_get(doc, '$', 'array<variant>')")).otherwise(
-        F.array(F.coalesce(F.expr("try_variant_get(doc, '$.rental_property', 'variant')"), F.col("doc")))
-    )
-    exploded = docs.select("_bucket", "_file", F.posexplode(elements).alias("_pos", "record"))
-    return exploded.select(F.to_json("record").alias("raw_data"), "_bucket", "_file", "_pos")
+        return spark.createDataFrame([], "raw_data string, _file string, _pos bigint, _bucket int")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def price_map(search_records: DataFrame) -> DataFrame:

@@ -98,7 +98,7 @@ class Lookups:
 
 
 def load_lookups(spark: SparkSession, root: str) -> Lookups:
-    """Read, cache and size-check the static files below ``root``. Call again after they change."""
+    """Read, cache and size-check the static files below ``root``; a call reads the files as they are then."""
     constants = _documents(spark, f"{root}/static/constants.json")
     frames = (
         type_names(constants),
@@ -107,6 +107,9 @@ def load_lookups(spark: SparkSession, root: str) -> Lookups:
         cities(_documents(spark, f"{root}/static/location_mapping/*/city.json")),
         facilities(constants),
     )
+    for df in frames:
+        # Spark knows cached data by its plan, which names files and not their contents: drop what an earlier call left.
+        df.unpersist(blocking=True)
     return Lookups(*(broadcast_if_small(df.cache()) for df in frames))
 
 

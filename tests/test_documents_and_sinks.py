@@ -117,6 +117,9 @@ def test_vector_points(spark, tmp_path):
     store = KeyedStore(spark, str(tmp_path / "points"), ["point_id"], docs.vector_points(exported, vectors).schema, buckets=2)
     assert export_points(exported, vectors, store) == 2
     assert export_points(exported, vectors, store) == 2  # the same ids again
+    some = vectors.where(F.col("text").contains("Other"))
+    lacking = docs.skipped_documents(exported, some.union(vectors.select("text", F.lit(None))))
+    assert sorted((r["external_id"] or "", r["reason"]) for r in lacking.collect()) == [("", "no id"), ("BC-1812", "no vector"), ("no text", "no text")]
     stored = {r["payload"]["external_id"]: r for r in store.read().collect()}
     assert set(stored) == {"BC-1812", "BC-2"} and len(stored["BC-2"]["payload"]) == 18
     assert stored["BC-2"]["payload"]["is_pet_friendly"] is True

@@ -28,6 +28,9 @@ def test_html_becomes_plain_text(evaluate, html, plain):
         ("Straße 5, Ærø", "strasse-5-aero"),
         ("Łódź – Center", "lodz-center"),
         ("1,000 Steps", "1000-steps"),
+        ("Αθήνα ΣΠΊΤΙ", "athena-spiti"),
+        ("Дом у моря 2", "dom-u-moria-2"),
+        ("Подъезд", "podezd"),
         ("  --  ", ""),
         (None, ""),
     ],

@@ -97,8 +97,13 @@ def test_similar_to_equals_brute_force(spark, vectors, monkeypatch):
     table = vector_table(spark, vectors)
     ids = spark.createDataFrame([(1,), (100,), (200,), (10**6,)], "id long")
     assert triples(similar_to(table, ids, 4)) == brute_similar(vectors, 4, True, [1, 100, 200])
-    monkeypatch.setattr("lodgeframe.operators.similar.QUERY_LIMIT", 2)  # more queries than one scan takes
+    monkeypatch.setattr("lodgeframe.operators.similar.QUERY_GROUP", 1)  # more queries than one scan takes
     assert triples(similar_to(table, ids, 4)) == brute_similar(vectors, 4, True, [1, 100, 200])
+    kind = table.schema["vector"].dataType.simpleString()
+    odd = spark.createDataFrame([(901,), (902,), (903,)], "id long").withColumn("vector", F.expr(f"CAST(CASE id WHEN 902 THEN array() WHEN 903 THEN array(1, NULL) END AS {kind})"))
+    with_odd = table.unionByName(odd.withColumn("published", F.lit(True)).select(table.columns))
+    for found in (similar_to(with_odd, ids.union(odd.select("id")), 4), similar_all(with_odd, 4).where("source_id IN (1, 100, 200)")):
+        assert triples(found) == brute_similar(vectors, 4, True, [1, 100, 200])
     assert similar_to(table, ids.where("id > 1000"), 4).count() == 0
 
 

@@ -179,13 +179,15 @@ def kv_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     AND (property_id, timestamp) IN (SELECT ('BC-' || o_custkey, strftime(date_trunc('month', o_orderdate), '%Y%m%d')) FROM orders)""",
 )
 def kv_point_get(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items by listing and day."""
+    """Items by listing and day, looked up in a store."""
     wanted = table(spark, sf_dir, "orders").select(
         F.concat(F.lit("BC-"), F.col("o_custkey").cast("string")).alias("property_id"),
         F.date_format(F.date_trunc("month", "o_orderdate"), "yyyyMMdd").alias("timestamp"),
     )
     items = latest_items(_order_history(spark, sf_dir))
-    return _shown_items(items.join(wanted, ["property_id", "timestamp"], "left_semi"))
+    store = KeyedStore(spark, f"{scratch(spark)}/history", ["property_id", "timestamp"], items.schema, buckets=8)
+    store.upsert(items)
+    return _shown_items(store.lookup(wanted))
 
 
 # --- vectors --------------------------------------------------------------------------------

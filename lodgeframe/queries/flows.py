@@ -174,14 +174,12 @@ def sync_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("reason", "raw_data")
 
 
-@query(
-    "change_stream",
-    f"""WITH {LISTING_SQL} SELECT external_id AS id, property_name, city, strftime(synced, '%Y-%m-%dT%H:%M:%S') AS updated_at
-    FROM listing WHERE k IN (SELECT user_id FROM events)""",
-)
-def change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search documents kept by the stream from change events, some of them malformed."""
-    root = scratch(spark)
+_STREAM_SQL = f"""WITH {LISTING_SQL} SELECT external_id AS id, property_name, city, strftime(synced, '%Y-%m-%dT%H:%M:%S') AS updated_at
+    FROM listing WHERE k IN (SELECT user_id FROM events)"""
+
+
+def _streamed(spark: SparkSession, sf_dir: str, root: str, runs: int) -> DataFrame:
+    """Search documents kept by the stream from change events, some of them malformed; every run reads all events anew."""
     events = table(spark, sf_dir, "events")
     message = F.struct(F.date_format("ts", "yyyyMMdd").alias("date"), F.array(F.col("user_id").cast("string")).alias("feed_provider_ids"))
     bad = F.concat(F.lit("{broken "), "event_type")
@@ -189,13 +187,34 @@ def change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines.repartition(4).write.text(f"{root}/events")
     documents = search_documents(listing_rows(spark, sf_dir))
     store = KeyedStore(spark, f"{root}/documents", ["id"], documents.schema, buckets=8)
-    stream = run_change_stream(
-        spark, f"{root}/events", lambda: listing_rows(spark, sf_dir), store, f"{root}/rejects", f"{root}/checkpoint", max_files=2
-    )
-    stream.awaitTermination()
+    for run in range(runs):
+        stream = run_change_stream(
+            spark, f"{root}/events", lambda: listing_rows(spark, sf_dir), store, f"{root}/rejects", f"{root}/checkpoint-{run}", max_files=2
+        )
+        stream.awaitTermination()
     return store.read().select("id", "property_name", "city", "updated_at")
 
 
+@query("change_stream", _STREAM_SQL)
+def change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search documents after one run of the stream."""
+    return _streamed(spark, sf_dir, scratch(spark), 1)
+
+
+@query("stream_replay", _STREAM_SQL)
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after all batches are replayed from the start, as after a lost checkpoint."""
+    return _streamed(spark, sf_dir, scratch(spark), 2)
+
+
+@query("stream_rejects", "SELECT '{broken ' || event_type AS value, count(*) AS n FROM events GROUP BY event_type")
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that the stream set aside."""
+    root = scratch(spark)
+    _streamed(spark, sf_dir, root, 1)
+    return spark.read.schema("value string").json(f"{root}/rejects/batch=*").groupBy("value").agg(F.count("*").alias("n"))
+
+
 @query(
     "partner_file",
     "SELECT 'V-' || s_suppkey AS external_id, s_name AS property_name, CAST(s_nationkey AS VARCHAR) AS bedroom_count FROM supplier",

@@ -31,3 +31,48 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         fs.delete(jtarget, False)
     if not fs.rename(jsource, jtarget):
         raise OSError(f"could not move {source} to {target}")
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file; ``FileExistsError`` if there is one, so that of two writers one alone succeeds."""
+    fs, jpath = _fs_and_path(spark, path)
+    fs.mkdirs(jpath.getParent())
+    try:
+        stream = fs.create(jpath, False)
+    except Exception as e:
+        if fs.exists(jpath):
+            raise FileExistsError(path) from e
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    fs, jpath = _fs_and_path(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+class CommitLog:
+    """Numbered commits of one table or store: files that are created once, each with a short text.
+
+    Data is written first to a folder of its own; the commit makes it visible. A job that dies before its commit
+    leaves nothing that readers see, and of two that claim the same number the second fails.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, f"{root.rstrip('/')}/commits"
+
+    def numbers(self) -> list[int]:
+        return sorted(int(p.rsplit("/", 1)[1]) for p in matches(self.spark, f"{self.root}/[0-9]*"))
+
+    def text(self, number: int) -> str:
+        return read_small(self.spark, f"{self.root}/{number:012d}")
+
+    def commit(self, number: int, text: str) -> None:
+        create_once(self.spark, f"{self.root}/{number:012d}", text)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodgeframe import schemas
-from lodgeframe.sources.paths import matches
+from lodgeframe.sources.paths import CommitLog, matches
 
 
 def evolve(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -19,17 +21,17 @@ def evolve(df: DataFrame, schema: T.StructType) -> DataFrame:
 class VersionedTable:
     """A Parquet table kept as one folder per version.
 
-    A version counts once its ``_SUCCESS`` marker exists, so a job that dies half-way leaves no
-    readable version behind. The version being read is never overwritten.
+    A version counts once it is committed, so a job that dies half-way leaves no readable version behind; of two that
+    claim the same number the second fails. The version being read is never overwritten.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType = schemas.LISTING_SCHEMA):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.log = CommitLog(spark, self.root)
 
     def versions(self) -> list[int]:
         """Finished versions, oldest first."""
-        found = matches(self.spark, f"{self.root}/version=*/_SUCCESS")
-        return sorted(int(p.split("/version=")[1].split("/")[0]) for p in found)
+        return self.log.numbers()
 
     def read(self, version: int | None = None) -> DataFrame:
         """One version (the newest by default), with columns added since it was written."""
@@ -39,13 +41,15 @@ class VersionedTable:
         chosen = known[-1] if version is None else version
         if chosen not in known:
             raise ValueError(f"no version {chosen} in {self.root}")
-        return evolve(self.spark.read.parquet(f"{self.root}/version={chosen}"), self.schema)
+        return evolve(self.spark.read.parquet(f"{self.root}/{self.log.text(chosen)}"), self.schema)
 
     def write(self, df: DataFrame) -> int:
-        """Write ``df`` as the next version and return its number."""
+        """Write ``df`` as the next version and return its number; ``FileExistsError`` if another writer took it meanwhile."""
         known = self.versions()
         version = known[-1] + 1 if known else 1
-        df.write.mode("overwrite").parquet(f"{self.root}/version={version}")
+        folder = f"version={version}-{os.urandom(4).hex()}"
+        df.write.parquet(f"{self.root}/{folder}")
+        self.log.commit(version, folder)
         return version
 
 

@@ -96,6 +96,35 @@ def test_history_store(spark, tmp_path):
     assert store.read().count() == 3
 
 
+def folder_bytes(path):
+    return sum(p.stat().st_size for p in path.rglob("*.parquet"))
+
+
+def test_store_appends_commits_and_compacts(spark, tmp_path):
+    root = tmp_path / "store"
+    schema = spark.createDataFrame([], "k string, part int, v string").schema
+    store = KeyedStore(spark, str(root), ["k", "part"], schema, buckets=4, compact_after=3)
+    assert store.read().count() == 0 and store.lookup(spark.createDataFrame([("1",)], "k string")).count() == 0
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("part"), F.md5(F.col("id").cast("string")).alias("v"))
+    store.upsert(rows)
+    before = folder_bytes(root)
+    store.upsert(rows.where("k < 20").withColumn("v", F.lit("new")))
+    assert folder_bytes(root) - before < before / 50
+    # A batch that died before its commit, and the same batch replayed.
+    (root / "data/torn").mkdir()
+    (root / "data/torn/part-0.parquet").write_text("torn")
+    store.upsert(rows.where("k < 20").withColumn("v", F.lit("new")))
+    assert KeyedStore(spark, str(root), ["k", "part"], schema, buckets=99).buckets == 4
+    got = {r["k"]: r["v"] for r in store.lookup(spark.createDataFrame([("7",), ("70",), ("none",)], "k string")).collect()}
+    assert got["7"] == "new" and set(got) == {"7", "70"} and len(got["70"]) == 32
+    expected = {(r["k"], r["v"]) for r in store.read().collect()}
+    store.upsert(rows.where("k = 5").withColumn("v", F.lit("last")))  # the fourth commit: compacted
+    assert json.loads(store.log.text(store.log.numbers()[-1]))["base"]
+    assert {(r["k"], r["v"]) for r in store.read().collect()} == (expected - {("5", "new")}) | {("5", "last")}
+    with pytest.raises(FileExistsError):
+        store.log.commit(1, "{}")
+
+
 def test_partition_writer_runs_on_the_workers(spark, tmp_path):
     target = str(tmp_path)
 

@@ -227,8 +227,11 @@ def test_versions_and_added_columns(spark, tmp_path):
     narrow = spark.createDataFrame([("1", "a")], "feed_provider_id string, property_name string")
     assert table.write(narrow) == 1
     assert set(table.read().columns) == set(schemas.LISTING_COLUMNS)
-    (tmp_path / "version=2").mkdir()  # unfinished
+    (tmp_path / "version=2-dead").mkdir()  # unfinished
     assert table.versions() == [1]
     with pytest.raises(ValueError):
         table.read(2)
+    table.log.commit(2, "taken by another sync")
+    with pytest.raises(FileExistsError):
+        table.log.commit(2, "version=2-late")
     assert evolve(narrow, schemas.LISTING_SCHEMA).schema["price"].dataType.simpleString() == "decimal(10,2)"

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import bpe, cap_filters, decontaminate, license_scan, ngram_join, secret_scan, sharding, token_files, toxicity, url_filter
+from lodgeframe.llm import bpe, cap_filters, decontaminate, license_scan, ngram_join, oracles, secret_scan, sharding, token_files, toxicity, url_filter
 from lodgeframe.queries.base import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,7 +53,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
-@query("op5_secret_scan")
+@query("op5_secret_scan", oracles.secrets_sql())
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
     base = F.filter("secrets", lambda s: s.kind.isin(*[r.kind for r in secret_scan.BASE]))
@@ -107,12 +107,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op8_ngram_join")
+@query("op8_ngram_join", oracles.NGRAMS)
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_documents(table(spark, sf_dir, "documents"))
 
 
-@query("op7_cap_filters")
+@query("op7_cap_filters", oracles.VECTORS)
 def op7_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"))
 

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lodgeframe.llm.pieces import PieceStore, groups
+from lodgeframe.llm.pieces import PieceStore, groups, in_small_batches
 
 # Fixed value: the pattern of the byte-level pre-tokenizer, which its vocabulary file names but does not hold.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -168,7 +168,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
                 rows = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays([*rows.columns, lists], names=[*rows.schema.names, ids])
 
-    return kept.mapInArrow(run, schema)
+    return in_small_batches(kept).mapInArrow(run, schema)
 
 
 def decode(tokens: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -183,4 +183,4 @@ def decode(tokens: DataFrame, vocabulary: str, ids: str = "ids", text: str = "de
             texts = [bpe.decode(flat[a:b]) for a, b in zip(edges[:-1], edges[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text])
 
-    return kept.mapInArrow(run, schema)
+    return in_small_batches(kept).mapInArrow(run, schema)

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodgeframe.llm.pieces import in_small_batches
 from lodgeframe.llm.links import grouped, link_in_buckets, shared_buckets
 from lodgeframe.session import cut_lineage
 
@@ -123,7 +124,7 @@ def _filtered(rows: DataFrame, codewords: int, passes: float, codes: int) -> Dat
                 columns = [part.column("key"), *(pa.array(c, k) for c, k in zip((nodes, buckets, payloads), kinds))]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "buckets", "payload"])
 
-    return rows.mapInArrow(run, "key bigint, node binary, buckets array<bigint>, payload binary")
+    return in_small_batches(rows).mapInArrow(run, "key bigint, node binary, buckets array<bigint>, payload binary")
 
 
 def _verifier(threshold: float):

@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodgeframe.llm.pieces import in_small_batches
+
 EDIT_RATE = 0.1
 EXACT_BELOW = 25
 CHUNK_CHARACTERS = 1_000_000
@@ -218,7 +220,7 @@ def _pass(docs: DataFrame, chunk: list[tuple[str, list[int]]], text: str, column
             made = pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, ARROW_MATCH)], names=[*batch.schema.names, column])
             yield made.filter(pa.array([bool(x) for x in out], pa.bool_())) if only_hits else made
 
-    return docs.mapInArrow(run, schema)
+    return in_small_batches(docs).mapInArrow(run, schema)
 
 
 def with_matches(

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgeframe.llm.pieces import groups
+from lodgeframe.llm.pieces import groups, in_small_batches
 
 SHINGLE, CONTAINMENT = 3, 0.8
 ROWS, BANDS = 2, 31
@@ -211,4 +211,4 @@ def find_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", temp
                     names = ["key", "license", "template", "start", "end", "containment"]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    return source.mapInArrow(run, f"key bigint, {MATCH}").withColumnRenamed("key", key)
+    return in_small_batches(source).mapInArrow(run, f"key bigint, {MATCH}").withColumnRenamed("key", key)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodgeframe.llm.pieces import in_small_batches
 from lodgeframe.session import cut_lineage
 
 GROUP_MEMBERS = 512
@@ -163,7 +164,7 @@ def link_in_buckets(shared: DataFrame, nodes: DataFrame, verify: Verify) -> Data
     ends = F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
     keys = ["tile", "family", "i", "j"]
     dealt = rows.select("tile", "family", *ends, "part", "node", "weight", "own", "payload").repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(lambda batches: _tiles(batches, verify), "node binary, n bigint, root binary")
+    return in_small_batches(dealt).mapInArrow(lambda batches: _tiles(batches, verify), "node binary, n bigint, root binary")
 
 
 def connected(edges: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgeframe.llm.links import grouped, link_in_buckets, shared_buckets
-from lodgeframe.llm.pieces import groups
+from lodgeframe.llm.pieces import groups, in_small_batches
 from lodgeframe.session import broadcast_if_small, cut_lineage
 
 WORDS, THRESHOLD, ROWS, MISS = 5, 0.8, 5, 1e-6
@@ -107,7 +107,7 @@ def _mapped(df: DataFrame, schema: str, make) -> DataFrame:
             for first, last in groups(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
                 yield make(batch.slice(first, last - first))
 
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)
 
 
 def _classes(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:

@@ -6,10 +6,13 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 # A store is emptied between groups of texts when its pieces or ids exceed this, so a worker's memory is bounded.
-MAX_PIECES, MAX_IDS = 400_000, 8_000_000
+MAX_PIECES, MAX_IDS = 250_000, 4_000_000
 GROUP_CHARACTERS = 1_000_000
+# Rows of an Arrow batch. The session's default of 10,000 suits numbers; texts and vectors are a thousand times as wide.
+BATCH_ROWS = 1_000
 
 
 class PieceStore:
@@ -62,3 +65,11 @@ def groups(lengths: Iterable[int], limit: int = GROUP_CHARACTERS) -> Iterator[tu
             first, size = i, 0
     if first < i:
         yield first, i
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself; from now on its session hands Python batches of ``BATCH_ROWS`` rows at most."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, BATCH_ROWS)
+    return df

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm.pieces import PieceStore, groups
+from lodgeframe.llm.pieces import PieceStore, groups, in_small_batches
 
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
@@ -176,7 +176,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id
         if held:
             yield full()
 
-    ordered.mapInArrow(run, BLOCKS).write.mode("overwrite").parquet(path)
+    in_small_batches(ordered).mapInArrow(run, BLOCKS).write.mode("overwrite").parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:

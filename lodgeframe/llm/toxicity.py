@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgeframe.llm.pieces import groups
+from lodgeframe.llm.pieces import groups, in_small_batches
 
 FIT_TOXIC, FIT_CLEAN = 4_000, 8_000
 FOLDS = 5
@@ -38,6 +38,8 @@ STEM_LETTERS = range(4, 11)
 # beyond chance (log-likelihood ratio; high because many forms are tried).
 LEAST_SHARE, LEAST_TEXTS, LEAST_ODDS, LEAST_EVIDENCE = 0.02, 3, 2.5, 15.0
 MOST_PER_TEXT = 5
+# Words whose result a task remembers.
+MOST_WORDS = 200_000
 WINDOW = 60
 LONGEST = 60
 PARTS = 1_000_000
@@ -145,7 +147,7 @@ class Scorer:
         self.seen: set[str] = set()
 
     def features(self, texts: list[str]) -> np.ndarray:
-        if len(self.seen) > 500_000:
+        if len(self.seen) > MOST_WORDS:
             self.seen, self.found = set(), {}
         lowered = [t.lower() for t in texts]
         words = [WORD.findall(t) for t in lowered]
@@ -235,7 +237,7 @@ def learn_terms(rows: DataFrame) -> list[Term]:
     if set(texts) != {0, 1}:
         return []
     toxic_uses, clean_uses = F.sum(F.when(F.col("toxic") == 1, F.col("uses")).otherwise(0)), F.sum(F.when(F.col("toxic") == 0, F.col("uses")).otherwise(0))
-    counts = rows.mapInArrow(forms, "form string, toxic int, uses bigint").groupBy("form")
+    counts = in_small_batches(rows).mapInArrow(forms, "form string, toxic int, uses bigint").groupBy("form")
     counts = counts.agg(F.sum("toxic").alias("texts"), toxic_uses.alias("t"), clean_uses.alias("c"))
     share = size[1] / (size[0] + size[1])
     found = {}
@@ -312,7 +314,7 @@ def _per_text(df: DataFrame, terms: tuple[Term, ...], text: str, fields: list[T.
                 columns = [*batch.slice(first, last - first).columns, *give(scorer.features(texts[first:last]))]
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *[f.name for f in fields]])
 
-    return kept.mapInArrow(run, schema)
+    return in_small_batches(kept).mapInArrow(run, schema)
 
 
 def with_features(df: DataFrame, terms: tuple[Term, ...], text: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +13,6 @@ from lodgeframe.functions.text import (
     strip_html,
     to_decimal,
     to_int,
-    trim_space,
     trimmed_or_blank,
     truthy,
 )
@@ -144,14 +141,6 @@ def resolve_types(df: DataFrame, types: DataFrame, categories: DataFrame) -> Dat
     return joined.withColumns({c: F.coalesce(c, F.lit("")) for c in ("property_type", "property_type_category")})
 
 
-@dataclass(frozen=True)
-class Cleaned:
-    """Staged rows (with their order columns) and the records that could not be read."""
-
-    rows: DataFrame
-    rejected: DataFrame
-
-
 ORDER = ["_bucket", "_file", "_pos"]
 
 
@@ -228,10 +217,3 @@ def assemble_rows(records: DataFrame, prices: DataFrame, lookups: Lookups) -> Da
     }
     typed = [columns.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in schemas.STAGED_SCHEMA.fields]
     return joined.select(*typed, *ORDER)
-
-
-def clean_listings(raw: DataFrame, prices: DataFrame, lookups: Lookups) -> Cleaned:
-    """Staged rows for every readable record; unreadable ones are set aside instead of failing the job."""
-    parsed = parse_records(raw)
-    good = parsed.where(F.col("r").isNotNull())
-    return Cleaned(assemble_rows(good, prices, lookups), parsed.where(F.col("r").isNull()).drop("r"))

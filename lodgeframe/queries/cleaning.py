@@ -301,8 +301,9 @@ def lookup_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     row = obj(F.lit('"property_type_name": '), quoted(F.concat_ws(" ", "p_name", key)),
               F.when(k % 6 == 0, "").otherwise(F.concat(F.lit(', "group_name": '), quoted(F.col("p_brand")))))
-    mapped = F.concat(F.lit('{"property_type_mapping": {"mapped": ["text", {"group_name": "NoName"}, '), row, F.lit("]}}"))
+    mapped = F.concat(F.lit('{"property_type_mapping": {"mapped": [true, {"group_name": "unnamed"}, '), row, F.lit("]}}"))
     by_code = obj(quoted(F.concat(F.upper("p_name"), key)), F.lit(": "), quoted(F.col("p_brand")))
+    codes = part.select(F.explode(F.from_json(by_code, "map<string,string>")).alias("key", "value"))
     props = table(spark, sf_dir, "events").select(F.explode(F.from_json("props", "map<string,string>")).alias("code", "name"))
 
     def kind(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
@@ -316,6 +317,6 @@ def lookup_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind(lookups.type_names(constants), "type", ["code", "type_name"])
         .unionByName(kind(lookups.facilities(constants), "facility", ["facility_id", "facility_name", "category"]))
         .unionByName(kind(lookups.type_categories(part.select(mapped.alias("value"))), "category", ["type_name", "category"]))
-        .unionByName(kind(lookups.countries(part.select(by_code.alias("value"))), "country", ["country_key", "country"]))
+        .unionByName(kind(lookups.countries(codes), "country", ["country_key", "country"]))
         .unionByName(kind(props, "map", ["code", "name"]))
     )

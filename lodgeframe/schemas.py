@@ -73,7 +73,7 @@ _TYPES: dict[str, T.DataType] = {
     **_fields(T.TimestampType(), "source_created_at source_updated_at last_synced_at created_at"),
 }
 
-# Column order of the staged rows (39) and of the table (43).
+# Column order of the staged rows (39) and of the table (43).
 STAGED_COLUMNS = (
     "external_id feed feed_provider_id feed_provider_url property_name property_slug property_type "
     "property_type_category city country country_code location_display partner_location_id latlon language "
@@ -95,7 +95,7 @@ LISTING_SCHEMA = T.StructType([T.StructField(c, _TYPES[c]) for c in LISTING_COLU
 
 LISTING_KEY = "feed_provider_id"
 
-# Columns a snapshot comparison looks at: all staged ones but the key, the raw record, the texts
+# Columns a snapshot comparison looks at: all staged ones but the key, the raw record, the texts
 # that are derived or long, and the two guest flags.
 _NOT_COMPARED = {
     LISTING_KEY,

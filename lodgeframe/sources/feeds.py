@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,15 +10,10 @@ from lodgeframe import schemas
 from lodgeframe.operators.dedup import keep_last
 from lodgeframe.sources.paths import matches
 
-# Changelog kinds, and the record buckets in the order in which later ones win.
-CHANGELOG_KINDS = ("changed", "opened", "closed")
+# The record buckets in the order in which later ones win.
 BUCKETS = ("changed", "opened")
 
 
-def folder_date(d: date) -> str:
-    return d.strftime("%Y%m%d")
-
-
 def changelog_ids(spark: SparkSession, root: str, day: str, kind: str = "changed", prefix: str = "*") -> DataFrame:
     """Ids of one day's changelog as ``(id)``.
 

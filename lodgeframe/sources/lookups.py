@@ -66,10 +66,10 @@ def type_categories(documents: DataFrame) -> DataFrame:
     return keep_last(rows.where(F.col("type_name") != ""), ["type_name"], ["_pos"]).drop("_pos")
 
 
-def countries(documents: DataFrame) -> DataFrame:
-    """``(country_key, country)`` with the code in lower case."""
-    rows = documents.select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "country"))
-    return keep_last(rows.select(F.lower("key").alias("country_key"), "country", "key"), ["country_key"], ["key"]).drop("key")
+def countries(codes: DataFrame) -> DataFrame:
+    """``(country_key, country)`` of ``(key, value)`` with the code in lower case."""
+    rows = codes.select(F.lower("key").alias("country_key"), F.col("value").alias("country"), "key")
+    return keep_last(rows, ["country_key"], ["key"]).drop("key")
 
 
 def cities(documents: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def load_lookups(spark: SparkSession, root: str) -> Lookups:
     frames = (
         type_names(constants),
         type_categories(_documents(spark, f"{root}/static/property_type_categories.json")),
-        countries(_documents(spark, f"{root}/static/location_mapping/countries.json")),
+        countries(static_map(spark, root, "static/location_mapping/countries.json")),
         cities(_documents(spark, f"{root}/static/location_mapping/*/city.json")),
         facilities(constants),
     )

@@ -203,7 +203,7 @@ def test_sync_end_to_end(spark, feed_root):
         assert all(old.pop(s) != new.pop(s) for s in stamps)
         assert old == new
     assert table.versions() == [1, 2]
-    assert not lookups.countries(lookups._documents(spark, f"{feed_root}/static/location_mapping/countries.json")).is_cached
+    assert not lookups.countries(lookups.static_map(spark, str(feed_root), "static/location_mapping/countries.json")).is_cached
 
 
 def test_day_without_changelog_writes_nothing(spark, feed_root):

@@ -1,5 +1,6 @@
 """Nearest-N, vector search and duplicates against brute force."""
 
+import json
 import math
 import re
 from collections import Counter
@@ -14,6 +15,9 @@ from lodgeframe.operators.media import best_images, image_analysis, ranked_image
 from lodgeframe.operators.nearest import nearest, within_radius
 from lodgeframe.operators.similar import similar_all, similar_to
 from lodgeframe.operators.text_vectors import model_vectors, tfidf_vectors
+from lodgeframe.plans.duplicates import partner_duplicates
+from lodgeframe.schemas import LISTING_SCHEMA
+from lodgeframe.sources.tables import evolve
 
 
 @pytest.fixture(scope="module")
@@ -199,3 +203,18 @@ def test_text_vectors(spark):
         assert len(row["vector"]) == 64 and np.linalg.norm(row["vector"]) == pytest.approx(1, abs=1e-5)
     lengths = model_vectors(texts, lambda: lambda batch: [[float(len(t))] for t in batch])
     assert {r["text"]: r["vector"] for r in lengths.collect()} == {"sea house": [9.0], "sea hut": [7.0], "forest": [6.0]}
+
+
+def test_duplicates_of_table_and_partner_file(spark, tmp_path):
+    text = {"property_type": "Loft", "location_display": "Pier 3", "property_description": "A bright loft by the water", "other_policy": "Quiet"}
+    own = [("BC-1", "Quay Loft", 2, "SRID=4326;POINT (2.0 41.0)"), ("BC-2", "Far Hut", 2, "SRID=4326;POINT (3.0 41.0)")]
+    rows = spark.createDataFrame([{"external_id": i, "property_name": n, "bedroom_count": b, "bathroom_count": 1, "latlon": p, **text} for i, n, b, p in own])
+    partner = [
+        {"external_id": f"V-{k}", "property_name": name, "bedroom_count": bedrooms, "bathroom_count": 1, "latlon": {"lat": 41.0003, "lon": 2.0}, **text}
+        for k, name, bedrooms in ((1, "Quay Loft", 3), (2, "Quay Loft", 2), (3, "Other name", 7))
+    ]
+    (tmp_path / "p.json").write_text(json.dumps({"data": partner}))
+    found = partner_duplicates(spark, evolve(rows, LISTING_SCHEMA), f"{tmp_path}/p.json").collect()
+    assert [(r["source_id"], r["candidate_id"], r["distance_m"]) for r in found][:2] == [("BC-1", "V-2", 33.4), ("BC-1", "V-1", 33.4)]
+    scores = [r["scores"]["overall_score"] for r in found]
+    assert scores == sorted(scores, reverse=True) and scores[0] == 1.0 and all(r["source_id"] == "BC-1" for r in found)

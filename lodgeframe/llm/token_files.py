@@ -34,7 +34,7 @@ from lodgeframe.llm.pieces import PieceStore, groups, in_small_batches
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
 SAMPLE = 512
-GROUP_CHARACTERS = 2_000_000
+GROUP_CHARACTERS, MAX_WORDS = 2_000_000, 400_000
 # No pattern or normaliser of the word vocabulary reaches across ASCII white space, so a text's ids are those of its
 # pieces; nor from Latin letters to these marks, which it splits off and which no composed character contains.
 WORD_AND_MARKS = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,;:!?]*)$"
@@ -119,7 +119,7 @@ def _store(vocabulary: str) -> PieceStore:
             flat.append(np.fromiter(chain.from_iterable(found), np.int32))
         return np.concatenate(flat), np.array(counts, np.int64)
 
-    return PieceStore(encode)
+    return PieceStore(encode, MAX_WORDS)
 
 
 def token_ids(texts: pa.Array, store: PieceStore) -> tuple[np.ndarray, np.ndarray]:

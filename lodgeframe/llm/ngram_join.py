@@ -164,19 +164,8 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], sizes: list[np.nda
     return total.astype(np.int64)
 
 
-def join_documents(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    words: int = WORDS,
-    threshold: float = THRESHOLD,
-    rows: int = ROWS,
-    miss: float = MISS,
-) -> DataFrame:
-    """(key, class_id, n_links) of every document: the least key that its links lead to, and its number of links.
-
-    A pair is missed with a probability of ``miss`` at most. A document that has no key in reach has a NULL class.
-    """
+def _grouped_classes(docs: DataFrame, key: str, text: str, words: int, threshold: float, rows: int, miss: float) -> tuple[DataFrame, DataFrame]:
+    """(key, mark, node, ...) of every document and (node, least, n_links, component) of every class."""
     bands = banding(threshold, rows, miss)
     source = docs.select(F.col(key).cast("bigint").alias("key"), F.unhex(F.md5(text)).alias("mark"), F.col(text).alias("text"))
     found = cut_lineage(_classes(source, words, bands, rows))
@@ -203,6 +192,23 @@ def join_documents(
     linked = grouped(link_in_buckets(shared, nodes, _verifier(threshold)))
     joined = classes.select("node", "weight", "least").join(linked, "node", "left")
     joined = joined.select("node", "least", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component"))
+    return found, joined
+
+
+def join_documents(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    words: int = WORDS,
+    threshold: float = THRESHOLD,
+    rows: int = ROWS,
+    miss: float = MISS,
+) -> DataFrame:
+    """(key, class_id, n_links) of every document: the least key that its links lead to, and its number of links.
+
+    A pair is missed with a probability of ``miss`` at most. A document that has no key in reach has a NULL class.
+    """
+    found, joined = _grouped_classes(docs, key, text, words, threshold, rows, miss)
     names = joined.groupBy("component").agg(F.min("least").alias("class_id"))
     named = joined.join(names, "component").select("node", "class_id", "n_links")
     every = found.select("key", "node").join(named, "node", "left")
@@ -210,24 +216,33 @@ def join_documents(
     return every.select(F.col("key").alias(key), class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group: the one that names it.
+def keep_one(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    words: int = WORDS,
+    threshold: float = THRESHOLD,
+    rows: int = ROWS,
+    miss: float = MISS,
+) -> DataFrame:
+    """``docs`` with one row of each group: of its least key, then of the least MD5 of the text.
 
-    Documents with a NULL key are kept unless their group has a document with a key or an equal text without one goes
-    before; of rows with equal keys and equal texts one stays.
+    Rows without a key come after all that have one. Of rows with that key and that text one stays. NULL texts belong
+    to no group; all of them stay.
     """
-    judged = join_documents(docs, key, text, **options)
-    named = judged.where(F.col(key) == F.col("class_id")).select(F.col(key).alias("_named"))
-    counted = named.groupBy("_named").agg(F.count("*").alias("_rows"))
-    kept = docs.join(counted, F.col(key) == F.col("_named")).drop("_named")
-    # Keys that repeat are few; only their rows are compared.
-    once = kept.where("_rows = 1").drop("_rows")
-    repeated = kept.where("_rows > 1").drop("_rows").dropDuplicates([key, text])
-    unkeyed = docs.where(F.col(key).isNull())
-    classless = judged.where(F.col(key).isNull() & F.col("class_id").isNull()).limit(1).count()
-    if not classless:
-        return once.unionByName(repeated)
-    with_key = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.unhex(F.md5(text)).alias("_mark")).distinct()
-    alone = unkeyed.withColumn("_mark", F.unhex(F.md5(text))).join(with_key, "_mark", "left_anti")
-    alone = alone.where(F.col(text).isNotNull()).dropDuplicates(["_mark"]).drop("_mark").select(*docs.columns)
-    return once.unionByName(repeated).unionByName(alone).unionByName(unkeyed.where(F.col(text).isNull()))
+    found, joined = _grouped_classes(docs, key, text, words, threshold, rows, miss)
+    # Aggregates alone, so that a class with many rows gathers in no task.
+    counted = found.where(F.col("node").isNotNull()).groupBy("node", "key", "mark").agg(F.count("*").alias("rows"))
+    first = F.min(F.struct(F.col("key").isNull().alias("unkeyed"), "key", "mark", "rows")).alias("first")
+    chosen = counted.groupBy("node").agg(first).join(joined.select("node", "component"), "node")
+    chosen = chosen.groupBy("component").agg(F.min("first").alias("first"))
+    chosen = cut_lineage(chosen.select(F.col("first.key").alias("key_"), F.col("first.mark").alias("mark_"), F.col("first.rows").alias("rows_")))
+
+    def of(marked: DataFrame) -> DataFrame:
+        same = docs[key].cast("bigint").eqNullSafe(marked["key_"]) & (F.unhex(F.md5(docs[text])) == marked["mark_"])
+        return docs.join(marked, same, "left_semi")
+
+    once = of(chosen.where("rows_ = 1"))
+    # Keys that repeat with their text are few; only their rows are compared.
+    repeated = of(broadcast_if_small(chosen.where("rows_ > 1"))).dropDuplicates([key, text])
+    return once.unionByName(repeated).unionByName(docs.where(docs[text].isNull()))

@@ -1,5 +1,6 @@
 """N-gram join and cap filters against brute force, groups of links, tiles."""
 
+import hashlib
 import random
 from collections import defaultdict
 
@@ -86,6 +87,50 @@ def test_one_document_of_each_group_stays(spark):
     assert [r["text"] for r in kept if r["doc_id"] is None] == ["alone here"]
 
 
+def plain_keep(rows):
+    """(key, text) of the row that stays for each group, by comparing all pairs; NULL texts all stay."""
+    groups = defaultdict(list)
+    for i, (root, (key, text)) in enumerate(zip(plain_roots(rows), rows)):
+        groups[i if text is None else root].append((key is None, key or 0, hashlib.md5((text or "").encode()).digest(), key, text))
+    return sorted(str(min(g, key=lambda r: r[:3])[3:]) for g in groups.values())
+
+
+def plain_roots(rows):
+    """A name of each row's group: the join's, with all rows named by their place."""
+    return [c for _, c, _ in plain_join([(i, text) for i, (_, text) in enumerate(rows)])]
+
+
+@pytest.mark.parametrize("unrelated", [[], [(None, None)], [(None, None), (None, "stands alone"), (None, None)]])
+def test_rows_without_a_key_follow_their_group(spark, unrelated):
+    """Near copies go whether or not another row has no class."""
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join([*words[:i], "changed", *words[i + 1 :]]) for i in (0, 59)]
+    others = " ".join(f"v{i}" for i in range(60))
+    rows = [(7, " ".join(words)), *[(None, t) for t in near], (None, others), (None, others + " more"), (None, others), *unrelated]
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(str(tuple(r)) for r in kept) == plain_keep(rows)
+    assert len(kept) == 2 + len(unrelated)
+
+
+def test_repeated_keys_are_rows_like_others(spark):
+    """A key that names one group keeps no row of it in another group, and one row where both are in the same."""
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:-1], "changed"])
+    rows = [(3, " ".join(words)), (5, near), (5, "alone here"), (8, "other " * 3), (8, "other " * 3), (9, "a b c d e f g h i j k l"), (9, "a b c d e f g h i j k l m")]
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(str(tuple(r)) for r in kept) == plain_keep(rows)
+    assert sorted(r["doc_id"] for r in kept) == [3, 5, 8, 9]
+
+
+def test_kept_rows_equal_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(None if rng.random() < 0.4 else rng.randrange(40), text) for _, text in corpus(7) if text is None or len(text) < 10_000]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, key_ string")
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept.collect()) == plain_keep(rows)
+
+
 def test_join_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert ngram_join.join_documents(empty).count() == ngram_join.keep_one(empty).count() == 0

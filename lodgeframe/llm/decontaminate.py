@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -59,6 +60,11 @@ def original_places(text: str) -> list[int]:
     return [*places, end]
 
 
+def inside_word(text: str, at: int) -> bool:
+    """Whether the characters before and after place ``at`` belong to one word: letters, digits, marks or underscores."""
+    return 0 < at < len(text) and all(c.isalnum() or c == "_" or unicodedata.category(c)[0] == "M" for c in text[at - 1 : at + 1])
+
+
 def occurrence_masks(pattern: str) -> dict[str, int]:
     masks: dict[str, int] = defaultdict(int)
     for i, c in enumerate(pattern):
@@ -159,8 +165,8 @@ class Matcher:
     def _verified(self, text: str, i: int, item: Item, leaf: int, begin: int, failed: set) -> tuple[int, int, int] | None:
         m = len(item.text)
         if begin >= 0 and text.startswith(item.text, begin):
-            bounded = item.budget or (text[begin - 1 : begin] or " ") == " " and (text[begin + m : begin + m + 1] or " ") == " "
-            return (begin, begin + m, 0) if bounded else None
+            whole = item.budget or not (inside_word(text, begin) or inside_word(text, begin + m))
+            return (begin, begin + m, 0) if whole else None
         if not item.budget:
             return None
         at = item.nodes[leaf].parent

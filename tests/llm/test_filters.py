@@ -269,6 +269,16 @@ def test_edited_items_are_found_as_by_brute_force(spark):
     assert decontaminate.with_matches(frame, items.limit(0)).where(F.size("matches") == 0).count() == len(docs)
 
 
+def test_short_items_end_at_word_boundaries():
+    matcher = decontaminate.Matcher([("blue whale", [1]), ("(a) of 42%", [2])], 0.1)
+    hits = lambda text: [(i, start) for i, start, _, _ in matcher.matches(text)]
+    for text in ('"blue whale"', "(blue whale)", "a blue whale.", "the blue whale, or", "blue whale?", "is:blue whale;", "blue whale"):
+        assert hits(text) == [(0, text.index("blue"))]
+    for text in ("blue whales", "2blue whale", "skyblue whale.", "blue whale_x", "blue whale\u0301"):
+        assert hits(text) == []
+    assert hits("x(a) of 42%y") == [(1, 1)]
+
+
 def test_items_in_several_chunks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "CHUNK_CHARACTERS", 300)
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet").limit(6)

@@ -190,7 +190,8 @@ class Matcher:
     def _placed(text: str, item: Item, low: int, end: int) -> tuple[int, int, int]:
         """The best match around one that ends at ``end``: the hit that led there may have been a chance one beside it."""
         m = len(item.text)
-        low, high = max(0, min(low, end - m - 2 * item.budget)), end + m
+        # No further to the right, or a whole copy that follows would draw the match onto itself.
+        low, high = max(0, min(low, end - m - 2 * item.budget)), end + item.budget
         distance, last = nearest(item.masks(0), m, text[low:high])
         _, length = nearest(item.backward, m, text[low : low + last][::-1])
         return low + last - length, low + last, distance

@@ -279,6 +279,20 @@ def test_short_items_end_at_word_boundaries():
     assert hits("x(a) of 42%y") == [(1, 1)]
 
 
+def test_edited_copies_beside_exact_ones_are_found():
+    rng = random.Random(12)
+    item = "".join(rng.choices("abcdefghijklmnop", k=200))
+    matcher = decontaminate.Matcher([(item, [1])], 0.1)
+    edited = list(item)
+    for at in (30, 80, 130, 170):
+        edited[at] = "z"
+    edited = "".join(edited)
+    for between in ("", " ", " and then "):
+        second = 200 + len(between)
+        assert sorted(matcher.matches(edited + between + item)) == [(0, 0, 200, 4), (0, second, second + 200, 0)]
+        assert sorted(matcher.matches(item + between + edited)) == [(0, 0, 200, 0), (0, second, second + 200, 4)]
+
+
 def test_items_in_several_chunks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "CHUNK_CHARACTERS", 300)
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet").limit(6)

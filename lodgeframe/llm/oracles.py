@@ -19,6 +19,16 @@ NGRAMS = r"""WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(
   r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
   SELECT x AS doc_id, min(y) AS class_id, (SELECT count(*) FROM l WHERE l.x = r.x) AS n_links FROM r GROUP BY x"""
 
+HARD_NEGATIVES = """WITH v AS (SELECT vec_id AS i, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT a.i AS a, b.i AS b, a.l = b.l AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS s FROM v a JOIN v b ON a.i <> b.i WHERE a.i % 50 = 0),
+  p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+  n AS (SELECT p.a AS anchor_id, p.b AS positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS INTEGER) AS rank,
+      s.b AS negative_id, p.s AS positive_score, s.s AS negative_score
+    FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.s <= 100 * s.s AND 100 * s.s <= 95 * p.s)
+  SELECT * FROM n WHERE rank <= 3"""
+
 
 def secrets_sql() -> str:
     """Pieces between matches and matches alternate, so their lengths add up to positions."""

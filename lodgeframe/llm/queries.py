@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import bpe, cap_filters, decontaminate, license_scan, ngram_join, oracles, secret_scan, sharding, token_files, toxicity, url_filter
+from lodgeframe.llm import bpe, cap_filters, decontaminate, hard_negatives, license_scan, ngram_join, oracles, secret_scan, sharding, token_files, toxicity, url_filter
 from lodgeframe.queries.base import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,10 @@ def op7_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_license_scan")
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.find_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op11_hard_negatives", oracles.HARD_NEGATIVES)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lodgeframe.llm.fingerprints import PIECE, SHOWN
 from lodgeframe.llm.secret_scan import BASE, RULES
 
 VECTORS = """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
@@ -51,3 +52,44 @@ def secrets_sql() -> str:
         f"q AS (SELECT doc_id, list_sort(flatten([{', '.join(lists)}])) AS f FROM p) "
         f"SELECT doc_id, {counts}, sha256({shown.format(base)}) AS base_sha256, {shown.format('f')} AS spans FROM q"
     )
+
+
+def fingerprints_sql() -> str:
+    """The tree level by level as nested lists, and pieces in common as bags."""
+
+    def joined(items: str) -> str:
+        return f"coalesce(array_to_string({items}, ''), '')"
+
+    def tree(text: str) -> str:
+        pieces = f"list_transform(regexp_extract_all(p, '{PIECE}'), lambda q: md5(q))"
+        lines = f"list_transform(string_split(s, chr(10)), lambda p: {pieces})"
+        return f"list_transform(string_split({text}, chr(10) || chr(10)), lambda s: {lines})"
+
+    def sections(of: str) -> str:
+        lines = f"list_transform(s, lambda l: {{'h': md5({joined('l')}), 'l': l}})"
+        return f"list_transform(list_transform({of}, lambda s: {lines}), lambda s: {{'h': md5({joined('list_transform(s, lambda p: p.h)')}), 'p': s}})"
+
+    def shown(of: str) -> str:
+        pieces = joined(f"list_transform(p.l, lambda q: substr(q, 1, {SHOWN}))")
+        lines = joined(f"list_transform(s.p, lambda p: '/' || substr(p.h, 1, {SHOWN}) || ':' || {pieces})")
+        tops = joined(f"list_transform({of}, lambda s: '|' || substr(s.h, 1, {SHOWN}) || {lines})")
+        return f"md5({joined(f'list_transform({of}, lambda s: s.h)')}) || {tops}"
+
+    bag = f"list_transform(flatten(flatten({{}})), lambda q: substr(q, 1, {SHOWN}))"
+    likeness = (
+        "SELECT doc_id, CASE WHEN max(na + nb) = 0 THEN 1.0 ELSE 2 * sum(least(coalesce(a, 0), coalesce(b, 0))) / max(na + nb) END AS near FROM ("
+        "SELECT doc_id, x, count(*) FILTER (side = 1) AS a, count(*) FILTER (side = 2) AS b FROM ("
+        "SELECT doc_id, 1 AS side, unnest(bt) AS x FROM b UNION ALL SELECT doc_id, 2, unnest({other}) FROM b) GROUP BY ALL) "
+        "RIGHT JOIN (SELECT doc_id, len(bt) AS na, len({other}) AS nb FROM b) USING (doc_id) GROUP BY doc_id"
+    )
+    return (
+        "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), "
+        "n AS (SELECT *, length(t) AS n, coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS nx FROM d), "
+        "e AS (SELECT *, substr(t, 1, n - n // 2) || substr(nx, 1, n // 2) AS ed FROM n), "
+        f"r AS (SELECT *, {tree('t')} AS rt, {tree('ed')} AS re, {tree('nx')} AS rn FROM e), "
+        f"s AS (SELECT *, {sections('rt')} AS st, {sections('re')} AS se FROM r), "
+        f"b AS (SELECT *, {bag.format('rt')} AS bt, {bag.format('re')} AS be, {bag.format('rn')} AS bn FROM r), "
+        f"le AS ({likeness.format(other='be')}), ln AS ({likeness.format(other='bn')}) "
+        f"SELECT doc_id, n AS n_chars, sha256(ed) AS edited_sha256, {shown('st')} AS fingerprint, {shown('se')} AS edited_fingerprint, "
+        "le.near AS near_edited, ln.near AS near_next FROM s JOIN le USING (doc_id) JOIN ln USING (doc_id)"
+    )

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import bpe, cap_filters, decontaminate, hard_negatives, license_scan, ngram_join, oracles, secret_scan, sharding, token_files, toxicity, url_filter
+from lodgeframe.llm import bpe, cap_filters, decontaminate, fingerprints, hard_negatives, license_scan, ngram_join, oracles, secret_scan, sharding, token_files, toxicity, url_filter
 from lodgeframe.queries.base import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,20 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
     return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query("op12_fingerprints", oracles.fingerprints_sql())
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.with_next(table(spark, sf_dir, "documents"))
+    n = F.length("text")
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr("next_text", F.lit(1), half))
+    prints = fingerprints.with_fingerprints(
+        rows.withColumn("edited", edited), {"text": "fingerprint", "edited": "edited_fingerprint", "next_text": "next_fingerprint"}
+    )
+    slim = prints.select(
+        F.col("key").alias("doc_id"), n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "next_fingerprint",
+    )
+    pairs = {"edited_fingerprint": ("near_edited", "edited_at"), "next_fingerprint": ("near_next", "next_at")}
+    return fingerprints.with_likeness(slim, "fingerprint", pairs).drop("next_fingerprint", "edited_at", "next_at")

@@ -30,6 +30,24 @@ HARD_NEGATIVES = """WITH v AS (SELECT vec_id AS i, CASE WHEN vec_id % 7 = 0 THEN
     FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.s <= 100 * s.s AND 100 * s.s <= 95 * p.s)
   SELECT * FROM n WHERE rank <= 3"""
 
+# The checksum bit by bit: one step a bit, the next byte of the decimal number before each eighth.
+PREFIX_TRIE = """WITH RECURSIVE ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+  crc AS (SELECT c, CAST(c AS VARCHAR) AS s, 0 AS i, CAST(4294967295 AS BIGINT) AS v FROM ids
+    UNION ALL SELECT c, s, i + 1, xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)
+    FROM (SELECT c, s, i, CASE WHEN i % 8 = 0 THEN xor(v, ascii(substr(s, i // 8 + 1, 1))) ELSE v END AS x FROM crc WHERE i < 8 * length(s))),
+  h AS (SELECT c, xor(v, 4294967295) % 9 AS h, c - c % 5 AS b FROM crc WHERE i = 8 * length(s)),
+  l AS (SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), unhex(md5(coalesce(text, ''))))
+    AS l FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+  w AS (SELECT h.c, coalesce(b.l, [])[1 : h.h] || o.l[h.h + 1 :] AS l FROM h JOIN l o ON o.c = h.c LEFT JOIN l b ON b.c = h.b),
+  m AS (SELECT c, len(l) AS n, unnest(range(0, len(l) + 1)) AS d, l FROM w),
+  n AS (SELECT l[1 : d] AS k, d, min(c) AS conv_id, count(*) AS n_convs, array_to_string(list(c ORDER BY c) FILTER (n = d), ',') AS ends FROM m GROUP BY 1, 2),
+  p AS (SELECT k, d, conv_id, n_convs, ends, CASE WHEN d > 0 THEN strlen(k[d].t) ELSE 0 END AS bytes FROM n),
+  g AS (SELECT a.d, a.conv_id, count(*) FILTER (b.d = a.d + 1) AS n_children, CAST(sum((b.n_convs - 1) * b.bytes) AS BIGINT) AS saved_tokens,
+    count(*) FILTER (NOT EXISTS (SELECT 1 FROM p x WHERE x.d = b.d + 1 AND x.k[1 : b.d] = b.k)) AS n_leaves
+    FROM p a JOIN p b ON b.d >= a.d AND b.k[1 : a.d] = a.k GROUP BY a.d, a.conv_id)
+  SELECT p.conv_id, p.d AS depth, q.conv_id AS parent_conv_id, p.n_convs, g.n_children, g.n_leaves, g.saved_tokens, sha256(coalesce(p.ends, '')) AS ends_sha256
+  FROM p JOIN g ON g.d = p.d AND g.conv_id = p.conv_id LEFT JOIN p q ON q.d = p.d - 1 AND p.k[1 : q.d] = q.k"""
+
 
 def secrets_sql() -> str:
     """Pieces between matches and matches alternate, so their lengths add up to positions."""

@@ -9,8 +9,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import bpe, cap_filters, decontaminate, fingerprints, hard_negatives, license_scan, ngram_join, oracles, secret_scan, sharding, token_files, toxicity, url_filter
+from lodgeframe.llm import bpe, cap_filters, decontaminate, fingerprints, hard_negatives, license_scan, ngram_join, oracles, prefix_trie, secret_scan, sharding, token_files, toxicity, url_filter
+from lodgeframe.llm.hot import join_hot
 from lodgeframe.queries.base import scratch, table
+from lodgeframe.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,6 +124,32 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.find_licenses(table(spark, sf_dir, "documents"))
 
 
+def shared_openings(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and ids of the conversations rebuilt for op13: first turns of a conversation's group, then its own.
+
+    Remainders of negative ids take the sign of the id, as in SQL. A group's first turns are at most eight rows, given to
+    at most nine conversations.
+    """
+    own_part = F.pmod(F.crc32(F.col("conv").cast("string")), F.lit(9))
+    group = F.col("conv") - F.col("conv") % 5
+    sizes = turns.groupBy("conv").agg(F.count("*").alias("n"))
+    known = sizes.select("conv", own_part.alias("h"), group.alias("group"))
+    held = sizes.select(F.col("conv").alias("group"), F.least("n", F.lit(8)).alias("held"))
+    opened = cut_lineage(known.join(held, "group", "left").withColumn("opening", F.coalesce(F.least("h", "held"), F.lit(0))))
+    first = turns.where((F.col("position") <= 8) & (F.col("conv") % 5 == 0)).withColumnRenamed("conv", "group")
+    shared = opened.where("opening > 0").join(first, "group").where(F.col("position") <= F.col("opening"))
+    later = turns.where(F.col("position") > own_part)
+    later = join_hot(later, opened.select("conv", "h", "opening"), "conv").withColumn("position", F.col("position") - F.col("h") + F.col("opening"))
+    columns = ["conv", "position", "turn_name", "bytes"]
+    return shared.select(*columns).unionByName(later.select(*columns)), opened.select("conv")
+
+
+@query("op13_prefix_trie", oracles.PREFIX_TRIE)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = cut_lineage(prefix_trie.numbered(table(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(*shared_openings(turns))
+
+
 @query("op11_hard_negatives", oracles.HARD_NEGATIVES)
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))

@@ -17,12 +17,6 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(norms == 0, F.lit(0.0)).otherwise(dot(a, b) / norms)
 
 
-def sparse_dot(a: Column, b: Column) -> Column:
-    """Dot product of two maps from term to count, in one hashed pass over both."""
-    products = F.map_values(F.map_zip_with(a, b, lambda _, x, y: F.coalesce(x * y, F.lit(0).cast("long"))))
-    return F.aggregate(products, F.lit(0).cast("long"), lambda acc, x: acc + x)
-
-
 def numeric_match(a: Column, b: Column) -> Column:
     """1 if equal, else 0; a missing side scores 0."""
     return F.when(a == b, F.lit(1.0)).otherwise(F.lit(0.0))

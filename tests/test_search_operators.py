@@ -157,9 +157,9 @@ def brute_duplicates(own, partner, distance_m, threshold):
     return out
 
 
-@pytest.mark.parametrize("distance_m, threshold, pairs_per_cell", [(100, 0.75, 250_000), (100, 0.75, 0), (100, 0.6, 500), (300, 0.4, 0)])
-def test_duplicates_equal_brute_force(spark, monkeypatch, distance_m, threshold, pairs_per_cell):
-    monkeypatch.setattr(duplicates, "PAIRS_PER_CELL", pairs_per_cell)
+@pytest.mark.parametrize("distance_m, threshold, tile_rows", [(100, 0.75, 1_024), (100, 0.75, 7), (100, 0.6, 20), (300, 0.4, 7)])
+def test_duplicates_equal_brute_force(spark, monkeypatch, distance_m, threshold, tile_rows):
+    monkeypatch.setattr(duplicates, "TILE_ROWS", tile_rows)
     rng = np.random.default_rng(3)
     own, partner = made_up_side(rng, 60, "A"), made_up_side(rng, 50, "B")
     partner += [(f"Bc{i}", *own[i][1:]) for i in rng.choice(len(own), 25, replace=False)]

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.functions.geo import haversine_m
+from lodgeframe.functions.geo import any_point, haversine_m
 from lodgeframe.functions.vectors import categorical_match, cosine, numeric_match
 from lodgeframe.operators.duplicates import FIELD_WEIGHTS, NUMERIC_FIELDS, find_duplicates, text_fields
 from lodgeframe.operators.media import best_images, image_analysis, ranked_images
 from lodgeframe.operators.nearest import nearest
 from lodgeframe.operators.similar import similar_all, similar_to
 from lodgeframe.operators.documents import search_documents
+from lodgeframe.plans.duplicates import ranked_partner_duplicates
 from lodgeframe.plans.nearby import nearby_listings, nearby_place
-from lodgeframe.queries.base import LISTING_SQL, haversine_sql, listing_rows, query, table
+from lodgeframe.queries.base import LISTING_SQL, haversine_sql, listing_rows, query, scratch, table
 
 # --- distance -------------------------------------------------------------------------------
 
@@ -218,8 +219,7 @@ def _side_sql(name: str, prefix: str, shift: int) -> str:
 
 
 _FIELDS = text_fields(FIELD_WEIGHTS)
-_DUPLICATE_SQL = f"""
-WITH {_side_sql('own', 'D', 0)}, {_side_sql('partner', 'P', 1)},
+_SCORE_SQL = f"""
 texts AS (SELECT DISTINCT md5(t) AS k, t FROM ({" UNION ALL ".join(f"SELECT {f} AS t FROM {side} WHERE {f} <> ''" for f in _FIELDS for side in ("own", "partner"))})),
 terms AS (SELECT k, w, count(*) AS n FROM (SELECT k, unnest(regexp_split_to_array(lower(t), '[\\x00-/:-@\\[-`{{-\\x7f]+')) AS w FROM texts)
   WHERE w <> '' GROUP BY k, w),
@@ -235,11 +235,11 @@ scored AS (SELECT source_id, candidate_id, metres,
     {", ".join(
         f"CASE WHEN s_{f} = c_{f} THEN 1.0 ELSE 0.0 END AS {f}" if f in NUMERIC_FIELDS
         else f"coalesce(x_{f}.cosine, 0.0) AS {f}" for f in FIELD_WEIGHTS)}
-  FROM near {" ".join(f"LEFT JOIN cosines x_{f} ON x_{f}.a = s_{f} AND x_{f}.b = c_{f}" for f in _FIELDS)})
-SELECT source_id, candidate_id, round(metres, 1) AS distance_m, round(property_description, 3) AS description_score,
-  round({" + ".join(f"{f} * {w}::DOUBLE" for f, w in FIELD_WEIGHTS.items())}, 4) AS overall_score FROM scored
-WHERE round({" + ".join(f"{f} * {w}::DOUBLE" for f, w in FIELD_WEIGHTS.items())}, 4) >= 0.75
+  FROM near {" ".join(f"LEFT JOIN cosines x_{f} ON x_{f}.a = s_{f} AND x_{f}.b = c_{f}" for f in _FIELDS)}), matched AS (SELECT *, round({" + ".join(f"{f} * {w}::DOUBLE" for f, w in FIELD_WEIGHTS.items())}, 4) AS overall_score FROM scored)
 """
+_DUPLICATE_SQL = f"""WITH {_side_sql('own', 'D', 0)}, {_side_sql('partner', 'P', 1)}, {_SCORE_SQL}
+SELECT source_id, candidate_id, round(metres, 1) AS distance_m, round(property_description, 3) AS description_score, overall_score
+FROM matched WHERE overall_score >= 0.75"""
 
 
 @query("duplicate_pairs", _DUPLICATE_SQL)
@@ -255,6 +255,46 @@ def duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _partner_file(listings: DataFrame, path: str) -> None:
+    """The listings as a partner's files, lists of about a thousand: a short way north, some renamed or with one more bedroom."""
+    k = F.col("feed_provider_id").cast("bigint")
+    point = any_point(F.col("latlon"))
+    place = F.struct((point["lat"] + 0.0003).alias("lat"), point["lon"].alias("lon"))
+    name = F.when(k % 2 == 0, F.col("property_name")).otherwise(F.concat(F.lit("Casa "), "property_name"))
+    rows = listings.select(
+        F.floor(k / 1000).alias("file"), F.concat(F.lit("V-"), k.cast("string")).alias("external_id"), place.alias("latlon"), name.alias("property_name"), "property_type", "location_display",
+        (F.col("bedroom_count") + F.when(k % 7 == 0, 1).otherwise(0)).alias("bedroom_count"), "bathroom_count", "property_description", "other_policy",
+    )
+    items = F.collect_list(F.to_json(F.struct(*[c for c in rows.columns if c != "file"])))
+    files = rows.groupBy("file").agg(F.concat(F.lit("["), F.concat_ws(",", items), F.lit("]")).alias("value"))
+    files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
+_TABLE_SIDES_SQL = f"""{LISTING_SQL},
+own AS (SELECT external_id AS id, lat, lon, property_name, property_type, location_display, property_description,
+  CASE WHEN eco THEN 'We are eco-friendly' ELSE 'Please do not smoke' END AS other_policy, bedroom_count, bathroom_count FROM listing),
+partner AS (SELECT 'V-' || k AS id, lat + 0.0003 AS lat, lon, CASE WHEN k % 2 = 0 THEN property_name ELSE 'Casa ' || property_name END AS property_name,
+  property_type, location_display, property_description, CASE WHEN eco THEN 'We are eco-friendly' ELSE 'Please do not smoke' END AS other_policy,
+  bedroom_count + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END AS bedroom_count, bathroom_count FROM listing)"""
+
+
+@query(
+    "duplicate_flow",
+    f"""WITH {_TABLE_SIDES_SQL}, {_SCORE_SQL}
+    SELECT row_number() OVER (ORDER BY overall_score DESC, source_id, candidate_id) AS rank, source_id, candidate_id,
+      round(metres, 1) AS distance_m, round(property_name, 3) AS name_score, overall_score FROM matched WHERE overall_score >= 0.75""",
+)
+def duplicate_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicates between the written listing table and a partner's files, with each pair's place in the order of the best match."""
+    listings = listing_rows(spark, sf_dir)
+    path = f"{scratch(spark)}/partner"
+    _partner_file(listings, path)
+    found = ranked_partner_duplicates(spark, listings, path)
+    return found.select(
+        "rank", "source_id", "candidate_id", "distance_m", F.round("scores.property_name", 3).alias("name_score"), F.col("scores.overall_score").alias("overall_score")
+    )
+
+
 # --- media ----------------------------------------------------------------------------------
 
 

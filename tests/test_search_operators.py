@@ -15,7 +15,7 @@ from lodgeframe.operators.media import best_images, image_analysis, ranked_image
 from lodgeframe.operators.nearest import nearest, within_radius
 from lodgeframe.operators.similar import similar_all, similar_to
 from lodgeframe.operators.text_vectors import model_vectors, tfidf_vectors
-from lodgeframe.plans.duplicates import partner_duplicates
+from lodgeframe.plans.duplicates import partner_duplicates, ranked_partner_duplicates
 from lodgeframe.schemas import LISTING_SCHEMA
 from lodgeframe.sources.tables import evolve
 
@@ -170,6 +170,44 @@ def test_duplicates_equal_brute_force(spark, monkeypatch, distance_m, threshold,
     assert all(abs(got[k] - expected[k]) <= 1e-4 for k in got)
 
 
+def test_crowded_block_compares_few_texts(spark):
+    """3,000 by 3,000 listings at one address with one common name: the score bound leaves few descriptions to compare."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(300)]
+
+    def side(n):
+        terms = lambda k: np.array([hash(w) for w in rng.choice(words, k)])
+        kinds = [terms(2) for _ in range(5)]
+        pick = lambda pool: [pool[i] for i in rng.integers(0, len(pool), n)]
+        return {
+            "lat": np.full(n, 45.0), "lon": np.full(n, 7.0), "property_name": [np.array([1, 2])] * n, "location_display": pick(kinds[:3]),
+            "property_description": [terms(20) for _ in range(n)], "other_policy": pick([None, *kinds[:2]]), "property_type": pick(kinds),
+            "bedroom_count": rng.integers(0, 5, n).astype(float), "bathroom_count": rng.integers(0, 3, n).astype(float),
+        }
+
+    rng2 = np.random.default_rng(9)
+    left, right = side(3000), side(3000)
+    for i in rng2.integers(0, 3000, 200):
+        for c in left:
+            right[c][i] = left[c][i]
+    i, j, scores, compared = duplicates.tile_pairs(left, right, duplicates.FIELD_WEIGHTS, 100, 0.75, True)
+    assert compared < 0.05 * 3000 * 3000
+    overall = sum(scores[f] * w for f, w in duplicates.FIELD_WEIGHTS.items())
+    found = {(a, b) for a, b, s in zip(i.tolist(), j.tolist(), overall) if round(s, 4) >= 0.75}
+
+    def cosine(a, b):
+        if a is None or b is None:
+            return 0.0
+        x, y = Counter(a.tolist()), Counter(b.tolist())
+        return sum(x[w] * y[w] for w in x) / math.sqrt(sum(n * n for n in x.values()) * sum(n * n for n in y.values()))
+
+    for a in range(0, 3000, 100):
+        for b in range(3000):
+            plain = sum(w * (float(left[f][a] == right[f][b]) if f in duplicates.NUMERIC_FIELDS else cosine(left[f][a], right[f][b])) for f, w in duplicates.FIELD_WEIGHTS.items())
+            assert ((a, b) in found) == (round(plain, 4) >= 0.75)
+    assert len(found) >= 150
+
+
 def test_duplicates_with_model_vectors(spark):
     row = ("1", None, "POINT (20 10)", "Villa", "House", "Here", "By the sea", "", 2, None)
     other = ("2", None, '{"lat": 10.0005, "lon": 20}', "Casa", "House", "Here", "At the ocean", "", 2, None)
@@ -216,5 +254,8 @@ def test_duplicates_of_table_and_partner_file(spark, tmp_path):
     (tmp_path / "p.json").write_text(json.dumps({"data": partner}))
     found = partner_duplicates(spark, evolve(rows, LISTING_SCHEMA), f"{tmp_path}/p.json").collect()
     assert [(r["source_id"], r["candidate_id"], r["distance_m"]) for r in found][:2] == [("BC-1", "V-2", 33.4), ("BC-1", "V-1", 33.4)]
+    ranked = ranked_partner_duplicates(spark, evolve(rows, LISTING_SCHEMA), f"{tmp_path}/p.json")
+    assert [(r["source_id"], r["candidate_id"]) for r in ranked.orderBy("rank").collect()] == [(r["source_id"], r["candidate_id"]) for r in found]
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, len(found) + 1))
     scores = [r["scores"]["overall_score"] for r in found]
     assert scores == sorted(scores, reverse=True) and scores[0] == 1.0 and all(r["source_id"] == "BC-1" for r in found)

@@ -1,17 +1,20 @@
 """Top-k cosine search over vectors.
 
-Two forms. ``similar_to`` takes a bounded set of query vectors and scans the corpus once, each task
-keeping its own k best. ``similar_all`` answers for every vector: equal vectors are collapsed, the rest
-is divided around pivot vectors, blocks that cannot hold a neighbour are skipped by the triangle
-inequality on angles, and the remaining pairs of bounded blocks are scored as matrix products that hand
-on only k rows per vector. Neither form writes out all pairs.
+Three forms. ``similar_to`` answers for given ids: few queries travel to one scan of the corpus, each task keeping its
+own k best; more are dealt out in blocks that meet the corpus's blocks. ``similar_all`` answers for every vector,
+exactly: equal vectors are collapsed, the rest is divided around two levels of pivots, about the square root of the
+vectors in all. What is shuffled is a super-block, a part of a first-level pivot's vectors, and a vector is copied only
+once for each super-block within its reach; inside a pair of super-blocks the second level skips the cells that cannot
+hold a neighbour, by the triangle inequality on angles. ``similar_lsh`` is the approximate form for corpora where little
+can be skipped: vectors meet only where they lie on the same side of all random hyperplanes of some table, so each is
+copied a fixed number of times. Blocks are scored as matrix products and hand on k rows per vector; no form writes
+out all pairs.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,17 +23,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodgeframe.session import broadcast_if_small, cut_lineage
+from lodgeframe.session import at_most, cut_lineage
 
 # The task functions travel with the plan, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Scores are ranked at this many decimal places, then by id.
 RANK_PLACES = 6
-# About how many query vectors one scan carries (more take more scans), and the rows of a block in the bulk form.
+# The most query vectors that one scan carries, and the rows of a block where both sides are dealt out.
 QUERY_GROUP = 2_000
 BLOCK_ROWS = 4_096
-MAX_PIVOTS = 256
+# Tables and hyperplanes of the approximate form: two vectors at cosine 0.9 share one of 24 tables of 8 planes in 99.9 % of pairs.
+TABLES, PLANES = 24, 8
 # Slack for the pruning bound: rounding of scores and of angles.
 _SLACK = 1e-4
 
@@ -48,11 +52,15 @@ def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> list[np.ndarray]:
     """Positions of the k best columns per row, by score and then by id."""
-    order = np.argsort(ids, kind="stable")
-    ranked = scores[:, order]
-    keep = min(k, ranked.shape[1])
-    picked = np.argsort(-ranked, axis=1, kind="stable")[:, :keep]
-    return [order[row] for row in picked]
+    keep = min(k, scores.shape[1])
+    if not keep:
+        return [np.zeros(0, np.int64)] * len(scores)
+    cuts = np.partition(scores, scores.shape[1] - keep, axis=1)[:, scores.shape[1] - keep]
+    out = []
+    for row, cut in zip(scores, cuts):
+        able = np.flatnonzero(row >= cut)
+        out.append(able[np.lexsort((ids[able], -row[able]))[:keep]])
+    return out
 
 
 def _take_top(candidates: DataFrame, k: int) -> DataFrame:
@@ -69,16 +77,49 @@ def _corpus(vectors: DataFrame, published_only: bool) -> DataFrame:
 def similar_to(vectors: DataFrame, ids: DataFrame, k: int = 5, published_only: bool = True) -> DataFrame:
     """The ``k`` vectors most similar to each of ``ids.id``; unknown ids give no rows.
 
-    ``vectors`` carries ``id, vector, published``; NULL vectors are never compared. Query vectors travel to the tasks
-    in groups of about ``QUERY_GROUP``, one scan of the corpus for each, whatever their number.
+    ``vectors`` carries ``id, vector, published``; NULL vectors are never compared. At most ``QUERY_GROUP`` query vectors
+    travel to the tasks of one scan. More stay in Spark: blocks of them meet blocks of the corpus.
     """
     known = vectors.where(_usable("vector"))
     queries = cut_lineage(known.join(ids.select("id"), "id", "left_semi").select("id", "vector"))
-    groups = max(1, -(-queries.count() // QUERY_GROUP))
     id_type = vectors.schema["id"].dataType.simpleString()
     corpus = _corpus(known, published_only).select("id", "vector")
-    found = [_scan(corpus, queries.where(F.pmod(F.xxhash64("id"), F.lit(groups)) == i).toPandas(), k, id_type) for i in range(groups)]
-    return _take_top(reduce(DataFrame.unionByName, found), k)
+    if at_most(queries, QUERY_GROUP):
+        return _take_top(_scan(corpus, queries.toPandas(), k, id_type), k)
+    return _take_top(_block_join(queries, corpus, k, id_type), k)
+
+
+def _block_join(queries: DataFrame, corpus: DataFrame, k: int, id_type: str) -> DataFrame:
+    """Candidates of many queries: each block of them meets each block of the corpus, ``k`` and one per query go on."""
+    corpus = cut_lineage(corpus)
+    parts = [max(1, -(-df.count() // BLOCK_ROWS)) for df in (queries, corpus)]
+    own = [F.pmod(F.xxhash64("id"), F.lit(n)).cast("int") for n in parts]
+    every = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in parts]
+    left = queries.withColumn("q_part", own[0]).withColumn("c_part", every[1])
+    right = corpus.withColumn("c_part", own[1]).withColumn("q_part", every[0])
+
+    def score(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for length, part in q.groupby(q["vector"].map(len)) if len(c) else ():
+            other = c[c["vector"].map(len) == length]
+            if len(other):
+                found.append(_picked(part["id"].to_numpy(), part["vector"], other["id"].to_numpy(), other["vector"], k + 1))
+        return pd.concat(found) if found else pd.DataFrame({"source_id": [], "id": [], "score": []})
+
+    keys = ["q_part", "c_part"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, f"source_id {id_type}, id {id_type}, score double")
+
+
+def _picked(q_ids: np.ndarray, q_vectors: pd.Series, c_ids: np.ndarray, c_vectors: pd.Series, keep: int) -> pd.DataFrame:
+    scores = _scores(_matrix(q_vectors), _matrix(c_vectors))
+    picked = _best(scores, c_ids, keep)
+    return pd.DataFrame(
+        {
+            "source_id": np.repeat(q_ids, [len(p) for p in picked]),
+            "id": c_ids[np.concatenate(picked)],
+            "score": np.concatenate([scores[i, p] for i, p in enumerate(picked)]),
+        }
+    )
 
 
 def _usable(vector: str):
@@ -116,135 +157,239 @@ def _scan(corpus: DataFrame, held: pd.DataFrame, k: int, id_type: str) -> DataFr
     return corpus.mapInPandas(scan, f"source_id {id_type}, id {id_type}, score double")
 
 
-def _pivots(distinct: DataFrame, count: int) -> np.ndarray:
-    """A bounded, repeatable sample of distinct vectors, at most ``MAX_PIVOTS`` rows on the driver."""
-    rows = distinct.select("vector").orderBy(F.xxhash64("vector"), "key").limit(min(count, MAX_PIVOTS)).toPandas()
-    return _matrix(rows["vector"])
+class Pivots:
+    """Two levels of pivots: a bounded sample of unit vectors, some of which stand for the others nearest to them."""
+
+    def __init__(self, sample: np.ndarray):
+        supers = max(1, int(np.ceil(np.sqrt(len(sample)))))
+        self.supers = sample[:supers]
+        of = (sample @ self.supers.T).argmax(axis=1)
+        of[:supers] = np.arange(supers)
+        # Cells are numbered by super pivot, so those of one lie side by side.
+        self.of = np.sort(of, kind="stable")
+        self.cells = sample[np.argsort(of, kind="stable")]
+        self.ends = np.searchsorted(self.of, np.arange(supers + 1))
+
+    def place(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(super pivot, angle to it, cell, angle to its pivot) of each row; a zero vector is as far as can be."""
+        scores = unit @ self.supers.T
+        best = scores.argmax(axis=1)
+        wide = _angle(scores[np.arange(len(best)), best])
+        cell, narrow = np.zeros(len(best), np.int64), np.zeros(len(best))
+        for s in np.unique(best):
+            rows, begin = np.flatnonzero(best == s), self.ends[s]
+            inner = unit[rows] @ self.cells[begin : self.ends[s + 1]].T
+            near = inner.argmax(axis=1)
+            cell[rows], narrow[rows] = begin + near, _angle(inner[np.arange(len(rows)), near])
+        lost = np.linalg.norm(unit, axis=1) == 0
+        wide[lost] = narrow[lost] = np.pi
+        return best, wide, cell, narrow
+
+
+def _angle(cosines: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosines, -1, 1))
+
+
+class Reach:
+    """Cell summaries, a few numbers for each pivot: the widest angle of a cell's queries and corpus vectors, and the
+    angle within which each of its queries has enough neighbours."""
+
+    def __init__(self, pivots: Pivots, cells: pd.DataFrame, nearest: pd.DataFrame, keep: int):
+        count = len(pivots.cells)
+        self.queries, self.held, self.floors = np.full(count, -np.inf), np.full(count, -np.inf), np.full(count, np.pi)
+        at = cells["cell"].to_numpy(int)
+        self.queries[at] = cells["queries"].to_numpy(float)
+        self.held[at] = np.where(cells["held"].isna(), -np.inf, cells["held"].to_numpy(float))
+        by_cell = {c: (g["angle"].to_numpy(), g["w"].to_numpy()) for c, g in nearest.groupby("cell")}
+        for s in range(len(pivots.supers)):
+            own = [c for c in range(pivots.ends[s], pivots.ends[s + 1]) if c in by_cell]
+            if not own:
+                continue
+            angles, weights = (np.concatenate([by_cell[c][i] for c in own]) for i in (0, 1))
+            sizes = [len(by_cell[c][0]) for c in own]
+            for q in range(pivots.ends[s], pivots.ends[s + 1]):
+                if np.isfinite(self.queries[q]):
+                    reachable = np.repeat(_angle(pivots.cells[own] @ pivots.cells[q]), sizes) + self.queries[q] + angles
+                    order = np.argsort(reachable)
+                    enough = np.searchsorted(np.cumsum(weights[order]), keep)
+                    if enough < len(order):
+                        self.floors[q] = min(np.pi, reachable[order][enough])
+
+    def cells(self, pivots: Pivots, q: int, others: np.ndarray) -> np.ndarray:
+        """Which of the corpus cells ``others`` may hold a neighbour of a query of cell ``q``."""
+        between = _angle(pivots.cells[others] @ pivots.cells[q])
+        return others[between - self.queries[q] - self.held[others] <= self.floors[q] + _SLACK]
+
+    def supers(self, pivots: Pivots, widest: dict[int, float], held: dict[int, float]) -> list[tuple[int, int]]:
+        """Pairs (super pivot of queries, of corpus vectors) that may hold neighbours."""
+        between = _angle(pivots.supers @ pivots.supers.T)
+        out = []
+        for q, reach in widest.items():
+            floor = self.floors[pivots.ends[q] : pivots.ends[q + 1]][np.isfinite(self.queries[pivots.ends[q] : pivots.ends[q + 1]])].max()
+            out += [(int(q), int(c)) for c, width in held.items() if between[q, c] - reach - width <= floor + _SLACK]
+        return out
+
+
+def _distinct(vectors: DataFrame, published_only: bool, keep: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, key) of all usable rows; the ids of each key that can be listed; one row a key: vector, least id, how many.
+
+    Equal vectors score alike against everything, so one of them stands for all. Of the copies only the smallest ids can
+    be listed, and the window drops the others before the shuffle.
+    """
+    keyed = vectors.where(_usable("vector")).select("id", "vector", "published", F.sha2(F.to_json("vector"), 256).alias("key"))
+    smallest = Window.partitionBy("key").orderBy("id")
+    members = _corpus(keyed, published_only).select("key", "id").withColumn("_r", F.row_number().over(smallest))
+    members = members.where(F.col("_r") <= keep).drop("_r")
+    firsts = members.groupBy("key").agg(F.min("id").alias("first_id"), F.count("*").alias("w"))
+    distinct = keyed.groupBy("key").agg(F.first("vector").alias("vector")).join(firsts, "key", "left")
+    return keyed.select("id", "key"), members, cut_lineage(distinct)
 
 
-def _block_pairs(pivots: np.ndarray, radii: dict[int, float], held: dict[int, float], floors: dict[int, float]):
-    """Pairs (query cell, corpus cell) that may hold a neighbour, from cell summaries alone.
+def _listed(keyed: DataFrame, members: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """``(source_id, id, rank, score)`` from candidates ``(q_key, c_key, first_id, score)``, one row for each pair of keys."""
+    keep = k + 1
+    by_score = Window.partitionBy("q_key").orderBy(F.desc("score"), "first_id")
+    best = candidates.withColumn("_r", F.row_number().over(by_score)).where(F.col("_r") <= keep)
+    by_id = Window.partitionBy("q_key").orderBy(F.desc("score"), "id")
+    listed = best.join(members.withColumnRenamed("key", "c_key"), "c_key").withColumn("_r", F.row_number().over(by_id))
+    lists = listed.where(F.col("_r") <= keep).groupBy("q_key").agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("neg"), F.col("id")))).alias("near")
+    )
+    sources = keyed.select(F.col("id").alias("source_id"), F.col("key").alias("q_key")).join(lists, "q_key")
+    others = F.slice(F.filter("near", lambda n: n["id"] != F.col("source_id")), 1, k)
+    return sources.select("source_id", F.posexplode(others).alias("pos", "n")).select(
+        "source_id", F.col("n.id").alias("id"), (F.col("pos") + 1).alias("rank"), (-F.col("n.neg")).alias("score")
+    )
 
-    ``radii`` is the widest angle between a cell's queries and its pivot, ``held`` the same for its
-    corpus vectors, ``floors`` the angle within which every query of the cell has enough neighbours.
-    """
-    between = np.arccos(np.clip(pivots @ pivots.T, -1, 1))
-    for q, reach in radii.items():
-        for c, width in held.items():
-            if between[q, c] - reach - width <= floors[q] + _SLACK:
-                yield int(q), int(c)
+
+def _nothing(spark, id_type: str) -> DataFrame:
+    return spark.createDataFrame([], f"source_id {id_type}, id {id_type}, rank int, score double")
+
+
+_SCORED = ["q_key", "c_key", "first_id", "score"]
+
+
+def _block_scores(q: pd.DataFrame, c: pd.DataFrame, keep: int) -> pd.DataFrame:
+    """The ``keep`` best rows of ``c`` for each row of ``q``."""
+    scores = _scores(_matrix(q["vector"]), _matrix(c["c_vector"]))
+    picked = _best(scores, c["c_first_id"].to_numpy(), keep)
+    flat = np.concatenate(picked)
+    values = np.repeat(q["key"].to_numpy(), [len(p) for p in picked]), c["c_key"].to_numpy()[flat], c["c_first_id"].to_numpy()[flat]
+    return pd.DataFrame(dict(zip(_SCORED, (*values, np.concatenate([scores[i, p] for i, p in enumerate(picked)])))))
 
 
 def similar_all(vectors: DataFrame, k: int = 5, published_only: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """For every vector the ``k`` most similar others: ``(source_id, id, rank, score)``, exact.
 
-    ``vectors`` carries ``id, vector, published``. Scores are rounded to six places before ranking and
-    ties go to the smaller id.
+    ``vectors`` carries ``id, vector, published``, vectors of one length. Scores are rounded to six places before ranking and
+    ties go to the smaller id. The driver holds the pivots, as many as the square root of the distinct vectors.
     """
     spark = vectors.sparkSession
     keep = k + 1
     id_type = vectors.schema["id"].dataType.simpleString()
-    keyed = vectors.where(_usable("vector")).select("id", "vector", "published", F.sha2(F.to_json("vector"), 256).alias("key"))
-
-    # Equal vectors score alike against everything, so one of them stands for all. Of the copies only
-    # the smallest ids can be listed, and the window drops the others before the shuffle.
-    smallest = Window.partitionBy("key").orderBy("id")
-    members = _corpus(keyed, published_only).select("key", "id").withColumn("_r", F.row_number().over(smallest))
-    members = members.where(F.col("_r") <= keep).drop("_r")
-    firsts = members.groupBy("key").agg(F.min("id").alias("first_id"), F.count("*").alias("w"))
-    distinct = keyed.groupBy("key").agg(F.first("vector").alias("vector")).join(firsts, "key", "left")
-    distinct = cut_lineage(distinct)
-
+    keyed, members, distinct = _distinct(vectors, published_only, keep)
     total = distinct.count()
     if total == 0:
-        return spark.createDataFrame([], f"source_id {id_type}, id {id_type}, rank int, score double")
-    pivots = _pivots(distinct, max(1, int(np.sqrt(total / 8))))
+        return _nothing(spark, id_type)
+    sample = distinct.select("vector").orderBy(F.xxhash64("vector"), "key").limit(int(np.ceil(np.sqrt(total)))).toPandas()
+    pivots = Pivots(_matrix(sample["vector"]))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not batch.empty:
+                best, wide, cell, narrow = pivots.place(_matrix(batch["vector"]))
+                yield batch.assign(super=best.astype("int32"), wide=wide, cell=cell.astype("int32"), angle=narrow)
+
+    fields = f"key string, vector {vectors.schema['vector'].dataType.simpleString()}, first_id {id_type}, w bigint"
+    placed = cut_lineage(distinct.select("key", "vector", "first_id", "w").mapInPandas(assign, f"{fields}, super int, wide double, cell int, angle double"))
+
+    in_corpus = F.col("first_id").isNotNull()
+    corpus = placed.where(in_corpus)
+    nearest_first = Window.partitionBy("cell").orderBy("angle", "key")
+    nearest = corpus.withColumn("_r", F.row_number().over(nearest_first)).where(F.col("_r") <= keep).select("cell", "angle", "w").toPandas()
+    cells = placed.groupBy("cell").agg(F.max("angle").alias("queries"), F.max(F.when(in_corpus, F.col("angle"))).alias("held")).toPandas()
+    blocks = placed.groupBy("super").agg(
+        F.max("wide").alias("queries"), F.max(F.when(in_corpus, F.col("wide"))).alias("held"), F.ceil(F.count("*") / block_rows).cast("int").alias("parts")
+    ).collect()
+    reach = Reach(pivots, cells, nearest, keep)
+    pairs = reach.supers(pivots, {r["super"]: r["queries"] for r in blocks}, {r["super"]: r["held"] for r in blocks if r["held"] is not None})
+    parts = {r["super"]: r["parts"] for r in blocks}
+    # One row for each pair of first-level pivots, whose number is the fourth root of the vectors.
+    wanted = F.broadcast(spark.createDataFrame([(q, c, parts[q], parts[c]) for q, c in pairs] or [(-1, -1, 1, 1)], "q_super int, c_super int, q_parts int, c_parts int"))
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        met = df.withColumnRenamed("super", f"{own}_super").join(wanted, f"{own}_super")
+        met = met.withColumn(f"{own}_part", F.pmod(F.xxhash64("key"), F.col(f"{own}_parts")).cast("int"))
+        return met.withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1)))
+
+    block = ["q_super", "q_part", "c_super", "c_part"]
+    q_side = dealt(placed, "q", "c").select(*block, "cell", "key", "vector")
+    c_side = dealt(corpus, "c", "q").select(
+        *block, F.col("cell").alias("c_cell"), F.col("key").alias("c_key"), F.col("vector").alias("c_vector"), F.col("first_id").alias("c_first_id")
+    )
+
+    def score_blocks(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        present = np.unique(c["c_cell"].to_numpy()) if len(c) else np.zeros(0, int)
+        for cell, own in q.groupby("cell") if len(present) else ():
+            others = c[c["c_cell"].isin(reach.cells(pivots, int(cell), present))]
+            if len(others):
+                found.append(_block_scores(own, others, keep))
+        return pd.concat(found) if found else pd.DataFrame(columns=_SCORED)
+
+    scored = q_side.groupBy(*block).cogroup(c_side.groupBy(*block))
+    return _listed(keyed, members, scored.applyInPandas(score_blocks, f"q_key string, c_key string, first_id {id_type}, score double"), k)
+
+
+def plane_signs(length: int, first: int, count: int) -> np.ndarray:
+    """Hyperplanes ``first`` to ``first + count``: each component is 1 or -1, by a rule that any engine can repeat."""
+    p, d = np.arange(first, first + count)[:, None], np.arange(length)[None, :]
+    a = (p * 7_919 + d * 104_729 + 12_345) % 1_000_003
+    b = (a * a + 57 * a + 11) % 1_000_003
+    return (b * b // 7 % 2 * 2 - 1).astype(np.float64)
+
+
+def similar_lsh(
+    vectors: DataFrame, k: int = 5, published_only: bool = True, tables: int = TABLES, planes: int = PLANES, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """For every vector the ``k`` most similar of those that share a bucket with it: ``(source_id, id, rank, score)``.
+
+    A bucket holds the vectors on the same side of all ``planes`` random hyperplanes of one of ``tables`` tables, so two
+    vectors at angle a share one with probability 1 - (1 - (1 - a / pi) ** planes) ** tables. A vector is copied once for
+    each table and part of its bucket; a bucket of more than ``block_rows`` distinct vectors is dealt out in parts that
+    meet each other, so none has to fit a task. Scores and ties as in ``similar_all``; vectors of one length.
+    """
+    keep = k + 1
+    id_type = vectors.schema["id"].dataType.simpleString()
+    vector_type = vectors.schema["vector"].dataType.simpleString()
+    keyed, members, distinct = _distinct(vectors, published_only, keep)
+
+    def sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
-            unit = _matrix(batch["vector"])
-            scores = unit @ pivots.T
-            cell = scores.argmax(axis=1)
-            angle = np.arccos(np.clip(scores[np.arange(len(cell)), cell], -1, 1))
-            yield batch.assign(cell=cell.astype("int32"), angle=np.where(np.linalg.norm(unit, axis=1) > 0, angle, np.pi))
-
-    fields = f"key string, vector {vectors.schema['vector'].dataType.simpleString()}, first_id {id_type}, w bigint, cell int, angle double"
-    placed = cut_lineage(distinct.select("key", "vector", "first_id", "w").mapInPandas(assign, fields))
-
-    # Cell summaries: a few numbers per pivot, so the choice of block pairs is made on the driver.
-    corpus = placed.where(F.col("first_id").isNotNull())
-    by_angle = Window.partitionBy("cell").orderBy("angle", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    nearest_k = (
-        corpus.withColumn("_r", F.row_number().over(Window.partitionBy("cell").orderBy("angle", "key")))
-        .where(F.col("_r") <= keep)
-        .withColumn("seen", F.sum("w").over(by_angle))
-        .where(F.col("seen") - F.col("w") < keep)
-        .select("cell", "angle", "w")
-        .toPandas()
-    )
-    radii = {r["cell"]: r["a"] for r in placed.groupBy("cell").agg(F.max("angle").alias("a")).collect()}
-    held = {r["cell"]: r["a"] for r in corpus.groupBy("cell").agg(F.max("angle").alias("a")).collect()}
-    between = np.arccos(np.clip(pivots @ pivots.T, -1, 1))
-    floors = {}
-    for q, reach in radii.items():
-        reachable = (between[q, nearest_k["cell"].to_numpy(dtype=int)] + reach + nearest_k["angle"].to_numpy()) if len(nearest_k) else np.array([])
-        order = np.argsort(reachable)
-        seen = np.cumsum(nearest_k["w"].to_numpy()[order]) if len(order) else np.array([])
-        enough = np.searchsorted(seen, keep)
-        floors[q] = float(reachable[order][enough]) if enough < len(order) else np.pi
-    pairs = spark.createDataFrame(list(_block_pairs(pivots, radii, held, floors)) or [(-1, -1)], "q_cell int, c_cell int")
-
-    # A cell is dealt out over blocks of bounded size by a hash of its key.
-    sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).alias("parts"))
-    dealt = placed.join(F.broadcast(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("key"), "parts"))
-    parts = sizes.select(F.col("cell").alias("_cell"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("_part"))
-    parts = broadcast_if_small(parts)
-    wanted = F.broadcast(pairs)  # at most MAX_PIVOTS squared rows
-    q_side = (
-        dealt.withColumnRenamed("cell", "q_cell").join(wanted, "q_cell")
-        .join(parts.select(F.col("_cell").alias("c_cell"), F.col("_part").alias("c_part")), "c_cell")
-        .select("q_cell", F.col("part").alias("q_part"), "c_cell", "c_part", "key", "vector")
-    )
-    c_side = (
-        dealt.where(F.col("first_id").isNotNull()).withColumnRenamed("cell", "c_cell").join(wanted, "c_cell")
-        .join(parts.select(F.col("_cell").alias("q_cell"), F.col("_part").alias("q_part")), "q_cell")
-        .select(
-            F.col("q_cell").alias("q_cell_"), F.col("q_part").alias("q_part_"), F.col("c_cell").alias("c_cell_"), F.col("part").alias("c_part_"),
-            F.col("key").alias("c_key"), F.col("vector").alias("c_vector"), F.col("first_id").alias("c_first_id"),
-        )
+            m = np.stack([np.asarray(v, dtype=np.float64) for v in batch["vector"]])
+            above = m @ plane_signs(m.shape[1], 0, tables * planes).T > 0
+            codes = above.reshape(len(m), tables, planes) @ (1 << np.arange(planes, dtype=np.int64))
+            yield batch.assign(codes=list(codes))
+
+    fields = f"key string, vector {vector_type}, first_id {id_type}, w bigint"
+    hashed = cut_lineage(distinct.select("key", "vector", "first_id", "w").mapInPandas(sides, f"{fields}, codes array<bigint>"))
+    met = hashed.select("key", "vector", "first_id", F.posexplode("codes").alias("table", "code"))
+    # At most tables * 2 ** planes rows, whatever the number of vectors.
+    sizes = hashed.select(F.posexplode("codes").alias("table", "code")).groupBy("table", "code").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
+    met = met.join(F.broadcast(sizes), ["table", "code"]).withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    block = ["table", "code", "q_part", "c_part"]
+    q_side = met.withColumn("c_part", every).select(*block[:2], F.col("part").alias("q_part"), "c_part", "key", "vector")
+    c_side = met.where(F.col("first_id").isNotNull()).withColumn("q_part", every).select(
+        *block[:2], "q_part", F.col("part").alias("c_part"), F.col("key").alias("c_key"), F.col("vector").alias("c_vector"), F.col("first_id").alias("c_first_id")
     )
 
     def score_blocks(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        columns = ["q_key", "c_key", "first_id", "score"]
-        if q.empty or c.empty:
-            return pd.DataFrame(columns=columns)
-        scores = _scores(_matrix(q["vector"]), _matrix(c["c_vector"]))
-        picked = _best(scores, c["c_first_id"].to_numpy(), keep)
-        flat = np.concatenate(picked)
-        return pd.DataFrame(
-            {
-                "q_key": np.repeat(q["key"].to_numpy(), [len(p) for p in picked]),
-                "c_key": c["c_key"].to_numpy()[flat],
-                "first_id": c["c_first_id"].to_numpy()[flat],
-                "score": np.concatenate([scores[i, p] for i, p in enumerate(picked)]),
-            }
-        )
-
-    block = ["q_cell", "q_part", "c_cell", "c_part"]
-    scored = q_side.groupBy(*block).cogroup(c_side.groupBy(*[f"{c}_" for c in block]))
-    candidates = scored.applyInPandas(score_blocks, f"q_key string, c_key string, first_id {id_type}, score double")
-    by_score = Window.partitionBy("q_key").orderBy(F.desc("score"), "first_id")
-    best = candidates.withColumn("_r", F.row_number().over(by_score)).where(F.col("_r") <= keep)
+        return _block_scores(q, c, keep) if len(q) and len(c) else pd.DataFrame(columns=_SCORED)
 
-    by_id = Window.partitionBy("q_key").orderBy(F.desc("score"), "id")
-    listed = best.join(members.withColumnRenamed("key", "c_key"), "c_key").withColumn("_r", F.row_number().over(by_id))
-    lists = listed.where(F.col("_r") <= keep).groupBy("q_key").agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("neg"), F.col("id")))).alias("near")
-    )
-    sources = keyed.select(F.col("id").alias("source_id"), F.col("key").alias("q_key")).join(lists, "q_key")
-    others = F.slice(F.filter("near", lambda n: n["id"] != F.col("source_id")), 1, k)
-    return sources.select("source_id", F.posexplode(others).alias("pos", "n")).select(
-        "source_id", F.col("n.id").alias("id"), (F.col("pos") + 1).alias("rank"), (-F.col("n.neg")).alias("score")
-    )
+    own = c_side.select(*[F.col(c).alias(f"{c}_") for c in block], "c_key", "c_vector", "c_first_id")
+    scored = q_side.groupBy(*block).cogroup(own.groupBy(*[f"{c}_" for c in block])).applyInPandas(score_blocks, f"q_key string, c_key string, first_id {id_type}, score double")
+    # A pair found in several tables counts once.
+    return _listed(keyed, members, scored.dropDuplicates(["q_key", "c_key"]), k)

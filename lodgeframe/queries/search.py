@@ -10,7 +10,7 @@ from lodgeframe.functions.vectors import categorical_match, cosine, numeric_matc
 from lodgeframe.operators.duplicates import FIELD_WEIGHTS, NUMERIC_FIELDS, find_duplicates, text_fields
 from lodgeframe.operators.media import best_images, image_analysis, ranked_images
 from lodgeframe.operators.nearest import nearest
-from lodgeframe.operators.similar import similar_all, similar_to
+from lodgeframe.operators.similar import PLANES, TABLES, similar_all, similar_lsh, similar_to
 from lodgeframe.operators.documents import search_documents
 from lodgeframe.plans.duplicates import ranked_partner_duplicates
 from lodgeframe.plans.nearby import nearby_listings, nearby_place
@@ -148,6 +148,28 @@ def similar_top_k_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_all(_vectors(spark, sf_dir), 3, published_only=False)
 
 
+# The hyperplanes by the same rule, and candidates that share a table's code.
+_LSH_SQL = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label % 2 = 0 AS published FROM embeddings),
+planes AS (SELECT p, list_transform(range(0, 64), lambda d: (((p * 7919 + d * 104729 + 12345) % 1000003))) AS a FROM range(0, {tables} * {planes}) r(p)),
+mixed AS (SELECT p, list_transform(a, lambda x: (x * x + 57 * x + 11) % 1000003) AS b FROM planes),
+signs AS (SELECT p, list_transform(b, lambda x: CAST(x * x // 7 % 2 * 2 - 1 AS DOUBLE)) AS s FROM mixed),
+codes AS (SELECT vec_id, p // {planes} AS t, sum(CASE WHEN list_dot_product(v, s) > 0 THEN 1 << (p % {planes}) ELSE 0 END) AS code
+  FROM e CROSS JOIN signs GROUP BY vec_id, t),
+c AS (SELECT DISTINCT a.vec_id AS x, b.vec_id AS y FROM codes a JOIN codes b ON a.t = b.t AND a.code = b.code AND a.vec_id <> b.vec_id),
+p AS (SELECT x AS source_id, y AS id, round(list_cosine_similarity(a.v, b.v), 6) AS score
+  FROM c JOIN e a ON a.vec_id = x JOIN e b ON b.vec_id = y WHERE b.published),
+r AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY score DESC, id) AS rank FROM p)
+SELECT source_id, id, CAST(rank AS INTEGER) AS rank, score FROM r WHERE rank <= 5
+"""
+
+
+@query("similar_lsh", _LSH_SQL.format(tables=TABLES, planes=PLANES))
+def similar_by_hyperplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 most similar published vectors among those that share a bucket of random hyperplanes with each vector."""
+    return similar_lsh(_vectors(spark, sf_dir), 5)
+
+
 @query("similar_to_ids", _SIMILAR_SQL.format(where="b.published AND a.vec_id IN (SELECT s_suppkey FROM supplier)", k=5))
 def similar_to_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for a list of ids, answered by one scan."""

@@ -10,10 +10,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lodgeframe.operators import duplicates
+from lodgeframe.operators import duplicates, similar
 from lodgeframe.operators.media import best_images, image_analysis, ranked_images
 from lodgeframe.operators.nearest import nearest, within_radius
-from lodgeframe.operators.similar import similar_all, similar_to
+from lodgeframe.operators.similar import similar_all, similar_lsh, similar_to
 from lodgeframe.operators.text_vectors import model_vectors, tfidf_vectors
 from lodgeframe.plans.duplicates import partner_duplicates, ranked_partner_duplicates
 from lodgeframe.schemas import LISTING_SCHEMA
@@ -98,11 +98,49 @@ def test_similar_all_equals_brute_force(spark, vectors, published_only, block_ro
     assert triples(similar_all(vector_table(spark, vectors), 5, published_only, block_rows)) == brute_similar(vectors, 5, published_only)
 
 
+def test_hyperplane_buckets_reach_nine_tenths(spark):
+    """Recall on clustered vectors, whatever the size of a block; found scores are exact."""
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((60, 32))
+    v = np.repeat(centres, 10, 0) + 0.25 * rng.standard_normal((600, 32))
+    v[5] = v[4]
+    frame = vector_table(spark, (v.astype(np.float32), np.ones(len(v), bool), None))
+    unit = v.astype(np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    scores = np.round(unit @ unit.T, 6)
+    exact = {t[:2] for t in brute_similar((v, np.ones(len(v), bool), scores), 5, True)}
+    for block_rows in (4096, 20):
+        found = similar_lsh(frame, 5, block_rows=block_rows).collect()
+        assert len({(r["source_id"], r["id"]) for r in found} & exact) >= 0.9 * len(exact)
+        assert len({(r["source_id"], r["id"]) for r in found}) == len(found)
+        assert all(abs(r["score"] - scores[r["source_id"], r["id"]]) <= 2e-6 for r in found)
+    assert similar_lsh(frame.limit(0)).count() == 0
+
+
+def test_pivots_leave_out_far_blocks():
+    rng = np.random.default_rng(7)
+    centres = np.linalg.qr(rng.standard_normal((32, 32)))[0]
+    unit = np.repeat(centres, 30, 0) + 0.02 * rng.standard_normal((960, 32))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    pivots = similar.Pivots(rng.permutation(unit)[:31])
+    best, wide, cell, narrow = pivots.place(unit)
+    assert (pivots.of[cell] == best).all() and (narrow <= wide + 1e-6).all()
+    near = pd.DataFrame({"cell": cell, "angle": narrow, "w": 1}).sort_values(["cell", "angle"]).groupby("cell").head(6)
+    summary = pd.DataFrame({"cell": cell, "angle": narrow}).groupby("cell")["angle"].max().rename("queries").reset_index()
+    reach = similar.Reach(pivots, summary.assign(held=summary["queries"]), near, 6)
+    order = np.argsort(-(unit @ unit.T), axis=1)[:, :6]
+    for i in range(0, 960, 7):
+        visited = reach.cells(pivots, cell[i], np.unique(cell))
+        assert set(cell[order[i]]) <= set(visited)
+    assert np.mean([len(reach.cells(pivots, c, np.unique(cell))) for c in np.unique(cell)]) < 0.5 * len(np.unique(cell))
+
+
 def test_similar_to_equals_brute_force(spark, vectors, monkeypatch):
     table = vector_table(spark, vectors)
     ids = spark.createDataFrame([(1,), (100,), (200,), (10**6,)], "id long")
     assert triples(similar_to(table, ids, 4)) == brute_similar(vectors, 4, True, [1, 100, 200])
     monkeypatch.setattr("lodgeframe.operators.similar.QUERY_GROUP", 1)  # more queries than one scan takes
+    monkeypatch.setattr("lodgeframe.operators.similar.BLOCK_ROWS", 50)
     assert triples(similar_to(table, ids, 4)) == brute_similar(vectors, 4, True, [1, 100, 200])
     kind = table.schema["vector"].dataType.simpleString()
     odd = spark.createDataFrame([(901,), (902,), (903,)], "id long").withColumn("vector", F.expr(f"CAST(CASE id WHEN 902 THEN array() WHEN 903 THEN array(1, NULL) END AS {kind})"))

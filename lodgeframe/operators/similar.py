@@ -171,16 +171,12 @@ class Pivots:
         self.ends = np.searchsorted(self.of, np.arange(supers + 1))
 
     def place(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(super pivot, angle to it, cell, angle to its pivot) of each row; a zero vector is as far as can be."""
-        scores = unit @ self.supers.T
-        best = scores.argmax(axis=1)
-        wide = _angle(scores[np.arange(len(best)), best])
-        cell, narrow = np.zeros(len(best), np.int64), np.zeros(len(best))
-        for s in np.unique(best):
-            rows, begin = np.flatnonzero(best == s), self.ends[s]
-            inner = unit[rows] @ self.cells[begin : self.ends[s + 1]].T
-            near = inner.argmax(axis=1)
-            cell[rows], narrow[rows] = begin + near, _angle(inner[np.arange(len(rows)), near])
+        """(super pivot, angle to it, nearest cell, angle to its pivot) of each row; a zero vector is as far as can be."""
+        scores = unit @ self.cells.T
+        cell = scores.argmax(axis=1)
+        best = self.of[cell]
+        narrow = _angle(scores[np.arange(len(cell)), cell])
+        wide = _angle((unit * self.supers[best]).sum(axis=1))
         lost = np.linalg.norm(unit, axis=1) == 0
         wide[lost] = narrow[lost] = np.pi
         return best, wide, cell, narrow

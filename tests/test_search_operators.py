@@ -122,7 +122,7 @@ def test_pivots_leave_out_far_blocks():
     centres = np.linalg.qr(rng.standard_normal((32, 32)))[0]
     unit = np.repeat(centres, 30, 0) + 0.02 * rng.standard_normal((960, 32))
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-    pivots = similar.Pivots(rng.permutation(unit)[:31])
+    pivots = similar.Pivots(rng.permutation(unit)[:160])
     best, wide, cell, narrow = pivots.place(unit)
     assert (pivots.of[cell] == best).all() and (narrow <= wide + 1e-6).all()
     near = pd.DataFrame({"cell": cell, "angle": narrow, "w": 1}).sort_values(["cell", "angle"]).groupby("cell").head(6)

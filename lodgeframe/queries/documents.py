@@ -18,12 +18,13 @@ from lodgeframe.operators.documents import (
 )
 from lodgeframe.operators.nearest import nearest
 from lodgeframe.operators.documents import nearby_points
-from lodgeframe.operators.sitemap import Site, assign_files, file_name, image_urls, index_lines, lastmod, nearby_sitemap_rows, url_blocks
+from lodgeframe.operators.sitemap import FOOTER, HEADER, Site, assign_files, file_name, image_urls, index_lines, lastmod, nearby_sitemap_rows, url_blocks
 from lodgeframe.operators.text_vectors import distinct_texts, tfidf_vectors
 from lodgeframe.plans.nearby import similar_listings
 from lodgeframe.queries.base import LISTING_SQL, haversine_sql, listing_rows, query, scratch, table
 from lodgeframe.sinks.exports import export_json, export_points, latest_items
 from lodgeframe.sinks.keyed_store import KeyedStore
+from lodgeframe.sinks.sitemaps import write_sitemaps
 from lodgeframe.sources.tables import exported_documents, sitemap_rows
 
 # --- documents ------------------------------------------------------------------------------
@@ -329,6 +330,35 @@ def sitemap_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_files(blocks, max_urls=100).select("external_id", "position", "file_no")
 
 
+# Files filled one row after another.
+_GREEDY_SQL = f"""WITH RECURSIVE {LISTING_SQL}, b AS (SELECT external_id, {_LISTING_BLOCK_SQL} AS block FROM listing WHERE is_published),
+n AS (SELECT *, row_number() OVER (ORDER BY external_id) - 1 AS position, strlen(block) AS size FROM b),
+f AS (SELECT external_id, block, position, 1 AS file_no, 1 AS held, {len(HEADER)} + size AS used FROM n WHERE position = 0
+  UNION ALL SELECT n.external_id, n.block, n.position, file_no + CAST(over AS INTEGER), CASE WHEN over THEN 1 ELSE held + 1 END,
+    CASE WHEN over THEN {len(HEADER)} ELSE used END + n.size
+  FROM (SELECT *, position + 1 AS p FROM f) f JOIN n ON n.position = p CROSS JOIN LATERAL (SELECT held >= 40 OR used + n.size > 20000 AS over))"""
+
+
+@query("sitemap_rollover", f"{_GREEDY_SQL} SELECT external_id, position, file_no FROM f")
+def sitemap_rollover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File of every listing at 40 addresses or 20,000 bytes per file, whichever comes first."""
+    blocks = url_blocks(sitemap_rows(listing_rows(spark, sf_dir)), SITE, _run_ts())
+    return assign_files(blocks, max_urls=40, max_bytes=20_000).select("external_id", "position", "file_no")
+
+
+@query(
+    "sitemap_written",
+    f"""{_GREEDY_SQL}, w AS (SELECT file_no, '{HEADER}' || string_agg(block, '' ORDER BY position) || '{FOOTER}' AS body FROM f GROUP BY file_no)
+    SELECT 'listing' || CASE WHEN file_no = 1 THEN '' ELSE '-' || file_no END || '.xml.gz' AS file_name, md5(body) AS body_md5, strlen(body) AS bytes FROM w""",
+)
+def sitemap_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as gzip files, read back: name, hash and size of each file's text."""
+    folder = f"{scratch(spark)}/maps"
+    write_sitemaps(sitemap_rows(listing_rows(spark, sf_dir)), folder, "listing", SITE, _run_ts(), max_urls=40, max_bytes=20_000)
+    files = spark.read.text(f"{folder}/*.xml.gz", wholetext=True).select(F.substring_index(F.col("_metadata.file_path"), "/", -1).alias("file_name"), "value")
+    return files.select("file_name", F.md5("value").alias("body_md5"), F.octet_length("value").cast("bigint").alias("bytes"))
+
+
 @query(
     "sitemap_root_index",
     f"""{_FILES_SQL} SELECT DISTINCT 'property-sitemap' || CASE WHEN file_no = 1 THEN '' ELSE '-' || file_no END || '.xml.gz' AS file_name,

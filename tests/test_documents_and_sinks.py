@@ -189,6 +189,26 @@ def test_files_roll_over_by_count_and_size(spark):
     assert sorted(sizes) == list(range(1, len(sizes) + 1)) and [r["file_no"] for r in sized] == sorted(r["file_no"] for r in sized)
 
 
+def greedy(sizes, max_urls, max_bytes):
+    """File of each row by filling files one row after another."""
+    out, number, count, used = [], 1, 0, len(HEADER)
+    for size in sizes:
+        if count and (count >= max_urls or used + size > max_bytes):
+            number, count, used = number + 1, 0, len(HEADER)
+        out.append(number)
+        count, used = count + 1, used + size
+    return out
+
+
+@pytest.mark.parametrize("max_urls, room", [(300, 700), (7, 200), (50, 1), (1, 10), (13, 333), (1000, 2000), (8, 60)])
+def test_files_are_filled_greedily(spark, max_urls, room):
+    blocks = spark.range(400).select(F.format_string("%04d", "id").alias("external_id"), F.repeat(F.lit("x"), (F.col("id") * 37 % 61).cast("int")).alias("block"))
+    filed = assign_files(blocks, max_urls, len(HEADER) + room).orderBy("position").collect()
+    assert [r["external_id"] for r in filed] == [f"{i:04d}" for i in range(400)]
+    assert [r["file_no"] for r in filed] == greedy([i * 37 % 61 for i in range(400)], max_urls, len(HEADER) + room)
+    assert assign_files(blocks.limit(0), max_urls, len(HEADER) + room).count() == 0
+
+
 def test_sitemap_files_and_index(spark, tmp_path):
     folder = str(tmp_path / "maps")
     rows = spark.createDataFrame([(f"BC-{i}", f"s{i}", datetime(2026, 7, 14), f"{i}.jpg", []) for i in range(5)], SITEMAP_DDL)

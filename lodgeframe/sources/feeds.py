@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from lodgeframe import schemas
 from lodgeframe.operators.dedup import keep_last
+from lodgeframe.session import cut_lineage
 from lodgeframe.sources.paths import matches
 
 # The record buckets in the order in which later ones win.
@@ -76,23 +77,38 @@ def _as_struct(spark: SparkSession, ddl: str) -> str:
 
 
 WRAPPER = "rental_property"
+# Holds the text of files that do not parse; no feed has this key.
+UNREAD = "_unread_by_lodgeframe"
 
 
 def _records_by_key(spark: SparkSession, files: list[str]) -> DataFrame:
     """``raw_data``, ``_file``, ``_pos`` of every record, whatever the size of its file; NULL for files that do not parse.
 
     Spark's reader streams the elements of a list as rows, so only one field of one record must fit in a variant value.
-    The keys come from one inference over all files; each is read as a variant, so unknown keys and shapes survive.
+    The keys come from one inference over all files; each is read as a variant, so unknown keys and shapes survive. Keys
+    that differ in case only are different keys, in JSON and in a reader of its own whose session tells them apart.
     """
+    reading = _telling_case_apart(spark)
     known = spark.createDataFrame([], schemas.RAW_LISTING_DDL).columns
-    inferred = spark.read.option("multiLine", True).json(files).columns
-    keys = {k.lower(): k for k in [*inferred, *known, WRAPPER] if k != "_corrupt_record"}
-    fields = [T.StructField(k, T.VariantType()) for k in keys.values()] + [T.StructField("_unread", T.StringType())]
-    reader = spark.read.schema(T.StructType(fields)).option("multiLine", True).option("columnNameOfCorruptRecord", "_unread")
-    read = reader.json(files).select("*", *_record_order())
-    own = F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys.values() if k != WRAPPER]))
-    record = F.coalesce(F.to_json(WRAPPER), own)
-    return read.select(F.when(F.col("_unread").isNull(), record).alias("raw_data"), "_file", "_pos")
+    inferred = reading.read.option("multiLine", True).option("columnNameOfCorruptRecord", UNREAD).json(files).columns
+    keys = [k for k in dict.fromkeys([*inferred, *known, WRAPPER]) if k != UNREAD]
+    fields = [T.StructField(k, T.VariantType()) for k in keys] + [T.StructField(UNREAD, T.StringType())]
+    reader = reading.read.schema(T.StructType(fields)).option("multiLine", True).option("columnNameOfCorruptRecord", UNREAD)
+    names = [F.col("`" + k.replace("`", "``") + "`") for k in keys if k != WRAPPER]
+    record = F.coalesce(F.to_json(WRAPPER), F.to_json(F.struct(*names)))
+    file, position = _record_order()
+    read = reader.json(files).select(F.when(F.col(UNREAD).isNull(), record).alias("raw_data"), file, position)
+    # Written once, as the caller asks first for the files that do not parse; and so back into the caller's session.
+    read = cut_lineage(read)
+    return spark.createDataFrame([], "raw_data string, _file string, _pos bigint").unionByName(read)
+
+
+def _telling_case_apart(spark: SparkSession) -> SparkSession:
+    """A session of the same application in which names that differ in case are different; the caller's stays as it is."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.caseSensitive", True)
+    return own
 
 
 def _records_by_element(spark: SparkSession, files: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodgeframe import schemas
+from lodgeframe.operators.cleaning import parse_records
 from lodgeframe.plans.daily_sync import sync_day
 from lodgeframe.sources import feeds, lookups
 from lodgeframe.sources.partner import partner_rows
@@ -235,3 +236,20 @@ def test_versions_and_added_columns(spark, tmp_path):
     with pytest.raises(FileExistsError):
         table.log.commit(2, "version=2-late")
     assert evolve(narrow, schemas.LISTING_SCHEMA).schema["price"].dataType.simpleString() == "decimal(10,2)"
+
+
+def test_keys_that_differ_in_case(spark, tmp_path):
+    """In one record, between the records of a file, between files, and beside a wrapped record."""
+    folder = tmp_path / "accommodation_details/20260714/changed"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('[{"id": 1, "Extra": "a", "extra": "b"}, {"id": 2, "ID": 7}]')
+    (folder / "b.json").write_text('{"id": 3, "EXTRA": [1], "a`b.c": 1, "_corrupt_record": "kept"}')
+    (folder / "c.json").write_text('{"rental_property": {"id": 4, "Id": 5}}')
+    (folder / "d.json").write_text("no json")
+    rows = feeds.raw_listings(spark, str(tmp_path), "20260714").orderBy("_file", "_pos").collect()
+    assert [None if r["raw_data"] is None else json.loads(r["raw_data"]) for r in rows] == [
+        {"id": 1, "Extra": "a", "extra": "b"}, {"id": 2, "ID": 7}, {"id": 3, "EXTRA": [1], "a`b.c": 1, "_corrupt_record": "kept"}, {"id": 4, "Id": 5}, None,
+    ]
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
+    parsed = parse_records(feeds.raw_listings(spark, str(tmp_path), "20260714")).where("r.id IS NOT NULL").select("r.id")
+    assert sorted(int(r["id"]) for r in parsed.collect()) == [1, 2, 3, 4]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +26,37 @@ def changelog_ids(spark: SparkSession, root: str, day: str, kind: str = "changed
     files = matches(spark, f"{root}/changelog/{day}/{prefix}_{kind}_*.json")
     if not files:
         return spark.createDataFrame([], "id string")
-    text = spark.read.text(files[0], wholetext=True)
+    split = _split_ids(spark, files[0], kind)
+    return split if split is not None else _whole_ids(spark, files[0], kind)
+
+
+# An element of a list of plain values between two commas, the first perhaps behind the key, the last before the end.
+_ELEMENT = r'(?s)^\s*(\{\s*"KIND"\s*:\s*)?(\[)?\s*("(?:[^"\\]|\\.)*"|[^\s"\[\]{}:]+)?\s*(\])?\s*(\})?\s*$'
+
+
+def _split_ids(spark: SparkSession, file: str, kind: str) -> DataFrame | None:
+    """Ids of a list of plain values, one row each, cut at the commas so that many tasks share a file of any size.
+
+    None if the file is anything else: other keys, nested values, a comma inside an id, or no valid JSON.
+    """
+    element = _ELEMENT.replace("KIND", re.escape(kind))
+    rows = spark.read.text(file, lineSep=",")
+    parts = [F.regexp_extract("value", element, i).alias(n) for i, n in enumerate(("key", "opens", "id", "closes", "end"), 1)]
+    read = rows.select((~F.col("value").rlike(element)).alias("odd"), *parts)
+    value = F.from_json(F.concat(F.lit("["), "id", F.lit("]")), "array<string>")
+    held = {c: F.count_if(F.col(c) != "").alias(c) for c in ("key", "opens", "closes", "end")}
+    empty = F.count_if((F.col("id") == "") & ~((F.col("opens") != "") & (F.col("closes") != ""))).alias("empty")
+    misplaced = F.count_if(((F.col("key") != "") & (F.col("opens") == "")) | ((F.col("end") != "") & (F.col("closes") == ""))).alias("misplaced")
+    unread = F.count_if((F.col("id") != "") & value.isNull()).alias("unread")
+    seen = read.agg(F.count_if("odd").alias("odd"), *held.values(), empty, misplaced, unread, F.count("*").alias("rows")).first()
+    if seen["odd"] or seen["empty"] or seen["misplaced"] or seen["unread"] or (seen["opens"], seen["closes"]) != (1, 1) or seen["key"] != seen["end"]:
+        return None
+    return read.where(F.col("id") != "").select(value[0].alias("id"))
+
+
+def _whole_ids(spark: SparkSession, file: str, kind: str) -> DataFrame:
+    """The same from the whole text as one value, whatever else it holds."""
+    text = spark.read.text(file, wholetext=True)
     ids = F.coalesce(
         F.from_json("value", "array<string>"),
         F.from_json(F.get_json_object("value", f"$.{kind}"), "array<string>"),

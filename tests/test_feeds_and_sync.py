@@ -253,3 +253,34 @@ def test_keys_that_differ_in_case(spark, tmp_path):
     assert spark.conf.get("spark.sql.caseSensitive") == "false"
     parsed = parse_records(feeds.raw_listings(spark, str(tmp_path), "20260714")).where("r.id IS NOT NULL").select("r.id")
     assert sorted(int(r["id"]) for r in parsed.collect()) == [1, 2, 3, 4]
+
+
+CHANGELOGS = [
+    '["a", "b", 3, 4.50, null, true, "\\"q\\"", "é\\u00e9"]', '{"changed": ["a",\n "b"]}\n', '{ "changed" : [ ] }', "[]", '["a"]', "[1]", '["a, b", "c"]',
+    '{"changed": ["a"], "opened": ["b"]}', '{"date": "x", "changed": ["a", "b"]}', '[["a"], "b"]', '[{"id": 1}]', "no json", "", '["a", "b"', '["a",]', '{"opened": ["a"]}',
+    '["a", "]", "[", "{", ":"]', '{"changed": ["a"]', '["a"] ["b"]', '["a" "b"]', '[nope]', '"a"', '[" a ", ""]',
+]
+
+
+def test_changelog_in_pieces_equals_whole(spark, tmp_path):
+    for i, text in enumerate(CHANGELOGS):
+        path = tmp_path / f"{i}.json"
+        path.write_text(text)
+        whole = sorted(str(r["id"]) for r in feeds._whole_ids(spark, str(path), "changed").collect())
+        split = feeds._split_ids(spark, str(path), "changed")
+        assert split is None or sorted(str(r["id"]) for r in split.collect()) == whole, text
+        assert (split is not None) or i not in (0, 1, 2, 3, 4, 5)
+
+
+def test_a_long_changelog_is_read_by_several_tasks(spark, tmp_path):
+    folder = tmp_path / "changelog/20260714"
+    folder.mkdir(parents=True)
+    (folder / "x_changed_1.json").write_text(json.dumps({"changed": [f"id-{i}" for i in range(200_000)]}))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 500_000)
+    try:
+        ids = feeds.changelog_ids(spark, str(tmp_path), "20260714")
+        assert ids.rdd.getNumPartitions() > 4
+        assert ids.agg(F.count("*"), F.countDistinct("id"), F.min("id"), F.max("id")).first() == (200_000, 200_000, "id-0", "id-99999")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodgeframe import schemas
 from lodgeframe.operators.dedup import drop_ids, keep_ids, keep_last
-from lodgeframe.operators.diff import diff_versions
+from lodgeframe.operators.diff import diff_versions, diff_wide_versions
 from lodgeframe.operators.merge import INSERT_DEFAULTS, LISTING_RULES, UPDATE_DEFAULTS, merge_counts, merge_keyed, replace_keyed
 from lodgeframe.queries.base import LISTING_SQL, listing_rows, query, scratch, table
 from lodgeframe.sources.feeds import id_union, price_map
@@ -84,6 +84,32 @@ def versioned_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined_fields(diff_versions(versions.read(first), versions.read(second), columns=_PART_COLUMNS))
 
 
+@query(
+    "versioned_diff_default",
+    f"""WITH {LISTING_SQL}, f AS (SELECT feed_provider_id, property_name, concat_ws(',', CASE WHEN k % 9 = 4 THEN 'property_name' END,
+        CASE WHEN k % 10 = 1 THEN 'city' END, CASE WHEN k % 8 = 0 AND star_rating IS NOT NULL THEN 'star_rating' END,
+        CASE WHEN k % 6 = 0 AND price IS NOT NULL THEN 'price' END, CASE WHEN k % 4 = 1 THEN 'images' END,
+        CASE WHEN k % 7 = 2 THEN 'is_published' END) AS changed_fields, k FROM listing WHERE k % 13 <> 5)
+    SELECT feed_provider_id, CASE WHEN k % 9 = 4 THEN property_name || '!' ELSE property_name END AS property_name, changed_fields
+    FROM f WHERE changed_fields <> ''""",
+)
+def versioned_diff_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All compared columns of two versions of the listing table; texts that are not compared change in every row."""
+    old, k = listing_rows(spark, sf_dir), F.col("feed_provider_id").cast("bigint")
+    later = {
+        "property_name": F.when(k % 9 == 4, F.concat("property_name", F.lit("!"))).otherwise(F.col("property_name")),
+        "city": F.when(k % 10 == 1, F.concat("city", F.lit("?"))).otherwise(F.col("city")),
+        "star_rating": F.when(k % 8 != 0, F.col("star_rating")),
+        "price": F.when(k % 6 == 0, (F.col("price") + 1).cast("decimal(10,2)")).otherwise(F.col("price")),
+        "images": F.when(k % 4 == 1, F.concat("images", F.array(F.lit("new.jpg")))).otherwise(F.col("images")),
+        "is_published": F.when(k % 7 == 2, ~F.col("is_published")).otherwise(F.col("is_published")),
+        "raw_data": F.lit("later"),
+    }
+    versions = VersionedTable(spark, scratch(spark))
+    first, second = versions.write(old), versions.write(old.withColumns(later).where(k % 13 != 5))
+    return _joined_fields(diff_wide_versions(versions.read(first), versions.read(second)))
+
+
 # --- merge ----------------------------------------------------------------------------------
 
 

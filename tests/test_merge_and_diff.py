@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lodgeframe import schemas
 from lodgeframe.operators.dedup import drop_ids, keep_ids, keep_last
-from lodgeframe.operators.diff import diff_versions
+from lodgeframe.operators.diff import diff_versions, diff_wide_versions
 from lodgeframe.operators.merge import INSERT_DEFAULTS, LISTING_RULES, UPDATE_DEFAULTS, merge_counts, merge_keyed
 from lodgeframe.sources.tables import evolve
 
@@ -100,5 +100,16 @@ def test_diff(spark):
     )
     rows = {r["feed_provider_id"]: r["changed_fields"] for r in diff_versions(old, new).collect()}
     assert rows == {"1": ["property_name", "city"], "2": ["city", "star_rating", "images"]}
+    wide = diff_wide_versions(old, new)
+    assert {r["feed_provider_id"]: r["changed_fields"] for r in wide.collect()} == rows
     everything = {r["feed_provider_id"]: r["changed_fields"] for r in diff_versions(old, new, include_unchanged=True).collect()}
     assert everything == {**rows, "0": []}
+
+
+def test_wide_diff_sees_moved_nulls_and_empty_values(spark):
+    """A value that moves from one column to another, NULL against empty, repeated keys: as the plain comparison."""
+    old = listing(spark, [dict(feed_provider_id="1", city="a"), dict(feed_provider_id="2", images=[]), dict(feed_provider_id="3", city="x"), dict(feed_provider_id="3", city="y")])
+    new = listing(spark, [dict(feed_provider_id="1", country="a"), dict(feed_provider_id="2", images=None), dict(feed_provider_id="3", city="x"), dict(feed_provider_id="4")])
+    order = lambda df: sorted((r["feed_provider_id"], r["changed_fields"]) for r in df.collect())
+    assert order(diff_wide_versions(old, new)) == order(diff_versions(old, new)) != []
+    assert diff_wide_versions(old, old.limit(0)).count() == 0

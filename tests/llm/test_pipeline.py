@@ -37,6 +37,35 @@ def test_stages_do_what_they_decide(spark, tmp_path):
     assert kept["secrets"] == kept["decontamination"]
 
 
+CLASHING = ["_score", "_toxic", "_secrets", "_matches", "_asked", "_matches_0", "node", "a`b", "carried_columns"]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_keep_clashing_columns_and_odd_rows(spark, name, stage):
+    """Columns named like the operators' own keep their values; NULL ids, repeated rows and an empty table have their results."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    odd = spark.createDataFrame([(None, f"text without an id {i}", "en", "s", 20) for i in range(2)] + [(-9, "twice", "en", "s", 5)] * 2, docs.schema)
+    docs = docs.unionByName(odd)
+    for c in CLASHING:
+        docs = docs.withColumn(c, F.concat(F.lit(f"{c}:"), "text"))
+    plain = docs.select(*[f"`{c}`" for c in corpus_pipeline.OWN])
+    out = stage(spark, docs, SMALL).cache()
+    if name == "tokens":
+        assert out.columns == ["doc_id", "ids", "n_tokens"] and out.count() == docs.count()
+        return
+    assert out.columns == docs.columns
+    if name != "secrets":
+        for c in CLASHING:
+            assert out.where(~F.col("`" + c.replace("`", "``") + "`").eqNullSafe(F.concat(F.lit(f"{c}:"), "text"))).count() == 0
+    else:
+        assert out.where(~F.col("_secrets").startswith("_secrets:")).count() == 0 and out.count() == docs.count()
+    rows = sorted(map(str, out.select(*[f"`{c}`" for c in corpus_pipeline.OWN]).collect()))
+    assert rows == sorted(map(str, stage(spark, plain, SMALL).collect()))
+    assert out.where("doc_id = -9").count() == (1 if name == "near_duplicates" else 2)
+    assert out.where("doc_id IS NULL").count() == 2
+    assert stage(spark, docs.limit(0), SMALL).count() == 0
+
+
 def test_run_gives_the_last_stage(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.columns == ["doc_id", "ids", "n_tokens"] and out.where("size(ids) <> n_tokens").count() == 0 and out.count() > 100

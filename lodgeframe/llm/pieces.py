@@ -30,17 +30,16 @@ class PieceStore:
     def codes(self, pieces: pa.Array) -> np.ndarray:
         """The store's number of each piece, after encoding those that are new."""
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         code = self._code
-        known = [code.get(p, -1) for p in distinct]
-        new = [p for p, c in zip(distinct, known) if c < 0]
+        new = [p for p in distinct if p not in code]
         if new:
             flat, counts = self._encode(new)
             code.update(zip(new, range(len(code), len(code) + len(new))))
-            known = [code[p] for p in distinct]
             self._ids = np.concatenate([self._ids, flat.astype(np.int32)])
             self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(counts)])
-        return np.array(known, np.int64)[coded.indices.to_numpy()]
+        known = np.fromiter(map(code.__getitem__, distinct), np.int64, len(distinct))
+        return known[coded.indices.to_numpy()]
 
     def gather(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of texts, given as the codes of all their pieces and each text's number of them, and its number of
@@ -67,6 +66,20 @@ def groups(lengths: Iterable[int], limit: int = GROUP_CHARACTERS) -> Iterator[tu
         yield first, i
 
 
+def wide_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches as one while ``column`` holds about ``limit`` bytes in all. At most that and a batch is held."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def in_small_batches(df: DataFrame) -> DataFrame:
     """``df`` itself; from now on its session hands Python batches of ``BATCH_ROWS`` rows at most."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -20,7 +20,7 @@ import functools
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +29,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm.pieces import PieceStore, groups, in_small_batches
+from lodgeframe.llm.pieces import PieceStore, groups, in_small_batches, wide_batches
 
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
 SAMPLE = 512
-GROUP_CHARACTERS, MAX_WORDS = 2_000_000, 400_000
+GROUP_CHARACTERS, MAX_WORDS = 6_000_000, 400_000
 # No pattern or normaliser of the word vocabulary reaches across ASCII white space, so a text's ids are those of its
-# pieces; nor from Latin letters to these marks, which it splits off and which no composed character contains.
-WORD_AND_MARKS = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,;:!?]*)$"
+# pieces; nor from Latin letters to a run of ASCII punctuation that ends the piece: the vocabulary splits such a run off
+# as one, and no composed character contains it.
+WORD_AND_MARKS = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-/:-@\[-`{-~]*)$"
+# Pieces of letters alone are encoded many at once with this digit behind each, which the vocabulary splits off by
+# itself and whose id no letters give.
+BEHIND, TOGETHER = "0", 64
 BLOCKS = "shard int, block int, start bigint, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, codes binary"
 
 
@@ -111,13 +115,28 @@ def _store(vocabulary: str) -> PieceStore:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    (behind,) = tokenizer.encode(BEHIND, add_special_tokens=False).ids
+
+    def flat_ids(texts: list[str]) -> tuple[np.ndarray, list[int]]:
         flat, counts = [np.zeros(0, np.int32)], []
-        for begin in range(0, len(pieces), 50_000):
-            found = [e.ids for e in tokenizer.encode_batch_fast(pieces[begin : begin + 50_000], add_special_tokens=False)]
+        for begin in range(0, len(texts), 20_000):
+            found = [e.ids for e in tokenizer.encode_batch_fast(texts[begin : begin + 20_000], add_special_tokens=False)]
             counts += map(len, found)
             flat.append(np.fromiter(chain.from_iterable(found), np.int32))
-        return np.concatenate(flat), np.array(counts, np.int64)
+        return np.concatenate(flat), counts
+
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        letters = np.fromiter(map(str.isalpha, pieces), bool, len(pieces))
+        words = list(compress(pieces, letters))
+        joined, _ = flat_ids([BEHIND.join([*words[i : i + TOGETHER], ""]) for i in range(0, len(words), TOGETHER)])
+        others, sizes = flat_ids(list(compress(pieces, ~letters)))
+        ends = np.flatnonzero(joined == behind)
+        counts = np.zeros(len(pieces), np.int64)
+        counts[letters], counts[~letters] = np.diff(ends, prepend=-1) - 1, sizes
+        flat = np.zeros(counts.sum(), np.int32)
+        of_words = np.repeat(letters, counts)
+        flat[of_words], flat[~of_words] = joined[joined != behind], others
+        return flat, counts
 
     return PieceStore(encode, MAX_WORDS)
 
@@ -161,7 +180,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id
             columns = ([shard], [block], [start], [len(flat)], [keys], [counts], [Dac.pack(flat)])
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-        for batch in batches:
+        for batch in wide_batches(batches, "text", GROUP_CHARACTERS):
             names, texts = batch.column("key").to_pylist(), batch.column("text")
             for first, last in groups(pc.binary_length(texts).to_numpy(zero_copy_only=False), GROUP_CHARACTERS):
                 flat, sizes = token_ids(texts.slice(first, last - first), store)

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -143,6 +144,44 @@ def test_index_prunes_and_lists_blocks(spark):
     assert posted[("tok", 1)] == [0] and posted[("cre", 3)] == [1] and ("tok", 2) not in posted
 
 
+def test_queries_are_derived_from_the_regex():
+    clauses = {r.kind: r.clauses for r in secret_scan.RULES}
+    assert set(clauses["assign"][0]) == {"password", "passwd", "secret", "token", "apikey", "api_key"} and len(clauses["assign"]) == 1
+    assert clauses["access"] == (("akia",),) and clauses["hex"] == ()
+    assert clauses["private_key"] == (("-----begin ",), ("private key-----",))
+    assert clauses["github"] == (("gho_", "ghp_", "ghr_", "ghs_", "ghu_"),)
+    assert clauses["jwt"] == ((".eyj",), ("eyj",))
+    assert secret_scan.Rule("k", "key-[0-9]{4}").clauses == (("key-",),)
+    assert secret_scan.Rule("k", "(?:abc|x+)def").clauses == (("def",),)
+    assert secret_scan.Rule("k", "(?:abc+|[^q]xyz)?").clauses == ()
+    assert secret_scan.Rule("k", "(?:abcd+|[^q]xyz|uvw)").clauses == (("abc", "uvw", "xyz"),)
+
+
+@pytest.mark.parametrize("pattern", [r.pattern for r in secret_scan.RULES] + ["key-[0-9]{4}", "(ab|cd){2,3}e?f", "a(?:bc|d+)e[xy]z", "(?i:Ab)c*(de){2}", "x{3}y", "(abc)?def|gh+i"])
+def test_every_match_holds_a_text_of_each_clause(pattern):
+    draw = random.Random(pattern)
+    clauses = secret_scan.Rule("k", pattern).clauses
+    alphabet = sorted(set("".join(t for c in clauses for t in c) + "abcdefghixyzAB019 -_.:=\"'"))
+    texts = [t for c in clauses for t in c] + ["ab", "cd", "gh", "i", "key-", "dd", "de", "exz", "abce", "eyJabcdefghij", ".eyJabcdefghij.", ".eyJabcdefghij.abcdefghij", "AKIA", "a" * 40, "ghp_", "xoxb-", "PRIVATE KEY-----", "-----BEGIN ", "Secret='", "0123"]
+    found = 0
+    for _ in range(20_000):
+        text = "".join(draw.choice(texts) if draw.random() < 0.5 else draw.choice(alphabet) for _ in range(draw.randrange(1, 8)))
+        for m in re.finditer(pattern, text):
+            found += 1
+            assert all(any(t in m[0].lower() for t in clause) for clause in clauses), (m[0], clauses)
+    assert found
+
+
+def test_many_matches_take_no_quadratic_time(spark):
+    text = "token=abcdef1 é " * 80_000
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    started = time.perf_counter()
+    found = secret_scan.find_secrets(docs).withColumn("masked", secret_scan.redact(F.col("text"), F.col("secrets"))).collect()[0]
+    assert time.perf_counter() - started < 20
+    assert [(s.start, s.end) for s in found["secrets"]] == [(16 * i, 16 * i + 13) for i in range(80_000)]
+    assert found["masked"] == "<secret> é " * 80_000
+
+
 # Toxicity
 
 

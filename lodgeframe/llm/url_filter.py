@@ -9,7 +9,8 @@ DataFrame functions only. Counting combines before its shuffle and its result is
 
 Defined results: a NULL URL, or one without ``://``, has empty host and path and fits no rule; the empty text is
 scored like any other. If the rules label no URL of one class there is nothing to compare and undecided URLs are
-allowed. Repeated rows are judged alike; other columns of the input are kept unless they bear the name of a result.
+allowed; if they label some, but none in the calibration fold or none outside it, all labelled URLs train the models
+and the threshold is 0, where both are equally likely. Repeated rows are judged alike; other columns of the input are kept unless they bear the name of a result.
 """
 
 from __future__ import annotations
@@ -135,16 +136,14 @@ def score(urls: DataFrame, url: str, model: DataFrame, order: int = 3) -> DataFr
     return known.groupBy("url").agg(F.round(F.avg(weight), 9).alias("score"))
 
 
-def calibrate(scored: DataFrame, score: str, label: str) -> float | None:
-    """Threshold with the best mean of both classes' hit rates; NULL if a class has no row. Works on counts by bins
-    of ``BIN``, whose number is bounded by the range of the log-ratio."""
+def calibrate(scored: DataFrame, score: str, label: str) -> float:
+    """Threshold with the best mean of the hit rates of both classes, which must have rows. Works on counts by bins of
+    ``BIN``, whose number is bounded by the range of the log-ratio."""
     bins = scored.groupBy(F.floor(F.col(score) / BIN).alias("bin")).agg(
         F.count_if(F.col(label) == "allow").alias("a"), F.count_if(F.col(label) == "block").alias("b")
     )
     rows = sorted((r["bin"], r["a"], r["b"]) for r in bins.collect())
     allowed, blocked = sum(r[1] for r in rows), sum(r[2] for r in rows)
-    if not allowed or not blocked:
-        return None
     best, at, kept, stopped = -1.0, 0.0, allowed, 0
     for edge, a, b in rows:  # accept what lies at or above the lower edge of the bin
         rate = kept / allowed + stopped / blocked
@@ -161,12 +160,17 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = RU
     judged = judged.withColumn("_rule", longest_rule(F.col("host"), F.col("path"), rules))
     labelled = judged.where(F.col("_rule").isNotNull()).select(address.alias("url"), F.col("_rule.verdict").alias("label"))
     labelled = labelled.withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(FOLDS)))
-    model = cut_lineage(fit(labelled.where("fold <> 0"), "url", "label", order))
-    held_out = labelled.where("fold = 0")
-    held_out = held_out.join(score(held_out, "url", model, order), "url")
-    threshold = calibrate(held_out, "score", "label")
+    classes = labelled.groupBy("label").agg(F.count_if(F.col("fold") == 0).alias("held"), F.count_if(F.col("fold") != 0).alias("rest")).collect()
+    if len(classes) < 2:
+        model, threshold = None, None
+    elif any(not r["held"] or not r["rest"] for r in classes):
+        model, threshold = cut_lineage(fit(labelled, "url", "label", order)), 0.0
+    else:
+        model = cut_lineage(fit(labelled.where("fold <> 0"), "url", "label", order))
+        held_out = labelled.where("fold = 0")
+        threshold = calibrate(held_out.join(score(held_out, "url", model, order), "url"), "score", "label")
     decided = judged.withColumns({"rule": F.col("_rule.rule"), "verdict": F.col("_rule.verdict")}).drop("_rule", "score")
-    if threshold is None:
+    if model is None:
         return decided.withColumns({"score": F.lit(None).cast("double"), "verdict": F.coalesce("verdict", F.lit("allow"))})
     open_cases = decided.where(F.col("verdict").isNull()).withColumn("_key", F.coalesce(address, F.lit("")))
     points = score(open_cases, "_key", model, order).withColumnRenamed("url", "_url")

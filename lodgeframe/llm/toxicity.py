@@ -34,9 +34,9 @@ from lodgeframe.llm.pieces import groups, in_small_batches
 FIT_TOXIC, FIT_CLEAN = 4_000, 8_000
 FOLDS = 5
 STEM_LETTERS = range(4, 11)
-# A term occurs in this share of the toxic texts (and this many), is this much likelier in them (log-odds by word) and
-# beyond chance (log-likelihood ratio; high because many forms are tried).
-LEAST_SHARE, LEAST_TEXTS, LEAST_ODDS, LEAST_EVIDENCE = 0.02, 3, 2.5, 15.0
+# A term occurs in this many toxic texts, is this much likelier in them (log-odds by word) and beyond chance
+# (log-likelihood ratio; high because many forms are tried). More labels let rarer terms pass.
+LEAST_TEXTS, LEAST_ODDS, LEAST_EVIDENCE = 3, 2.5, 15.0
 MOST_PER_TEXT = 5
 # Words whose result a task remembers.
 MOST_WORDS = 200_000
@@ -216,9 +216,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, toxic
 
 
 def learn_terms(rows: DataFrame) -> list[Term]:
-    """Words and stems frequent in toxic texts of the sample and rare in clean ones. A form must occur in ``LEAST_SHARE``
-    of the toxic texts, so the number that reaches the driver is bounded by the words of a text and that share. Uses in
-    one text count up to ``MOST_PER_TEXT``."""
+    """Words and stems of the sample's toxic texts that are rare in clean ones. Spark judges the forms; only those that
+    pass reach the driver, at most the words of ``FIT_TOXIC`` texts. Uses in one text count up to ``MOST_PER_TEXT``."""
 
     def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,29 +239,30 @@ def learn_terms(rows: DataFrame) -> list[Term]:
     counts = in_small_batches(rows).mapInArrow(forms, "form string, toxic int, uses bigint").groupBy("form")
     counts = counts.agg(F.sum("toxic").alias("texts"), toxic_uses.alias("t"), clean_uses.alias("c"))
     share = size[1] / (size[0] + size[1])
-    found = {}
-    for r in counts.where(F.col("texts") >= max(LEAST_TEXTS, LEAST_SHARE * texts[1])).collect():
-        t, c = r["t"], r["c"]
-        odds = np.log((t + 0.5) / size[1]) - np.log((c + 0.5) / size[0])
-        evidence = t * np.log(t / ((t + c) * share)) + (c * np.log(c / ((t + c) * (1 - share))) if c else 0.0)
-        if odds >= LEAST_ODDS and evidence >= LEAST_EVIDENCE:
-            found[r["form"]] = (r["texts"], float(odds))
-    return narrowed(found)
+    t, c = F.col("t"), F.col("c")
+    odds = F.log((t + 0.5) / size[1]) - F.log((c + 0.5) / size[0])
+    of_clean = F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0)
+    judged = counts.where(F.col("texts") >= LEAST_TEXTS).withColumns({"odds": odds, "evidence": t * F.log(t / ((t + c) * share)) + of_clean})
+    passed = judged.where((F.col("odds") >= LEAST_ODDS) & (F.col("evidence") >= LEAST_EVIDENCE)).select("form", "texts", "odds").collect()
+    return narrowed({r["form"]: (r["texts"], r["odds"]) for r in passed})
+
+
+def _stems(text: str) -> list[str]:
+    return [text[:n] for n in STEM_LETTERS if n <= len(text)]
 
 
 def narrowed(found: dict[str, tuple[int, float]]) -> list[Term]:
     """Each family of forms by its most telling members: a stem gives way to a longer form that holds nearly all its
     texts, and a longer form gives way to a stem that is left, unless it tells clearly more."""
-    kept = {}
-    for form in found:
-        longer = [f for f in found if f != form and form.endswith("*") and f.startswith(form[:-1])]
-        if not any(found[f][0] >= 0.95 * found[form][0] for f in longer):
-            kept[form] = found[form]
+    given_way = set()
+    for form, (texts, _) in found.items():
+        above = (s + "*" for s in _stems(form.rstrip("*")))
+        given_way |= {s for s in above if s != form and s in found and texts >= 0.95 * found[s][0]}
+    kept = {form: found[form] for form in found if form not in given_way}
     stems = {f[:-1]: odds for f, (_, odds) in kept.items() if f.endswith("*")}
 
     def told(form: str, odds: float) -> bool:
-        text = form.rstrip("*")
-        return any(text.startswith(s) and form != s + "*" and odds < of_stem + 2 for s, of_stem in stems.items())
+        return any(s in stems and form != s + "*" and odds < stems[s] + 2 for s in _stems(form.rstrip("*")))
 
     return [Term(f.rstrip("*"), f.endswith("*"), odds) for f, (_, odds) in sorted(kept.items()) if not told(f, odds)]
 

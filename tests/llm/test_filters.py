@@ -95,6 +95,18 @@ def test_urls_without_labels_are_allowed(spark):
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id bigint, url string")).count() == 0
 
 
+@pytest.mark.parametrize("held", [True, False])
+def test_few_labelled_urls_train_the_models_whole(spark, held):
+    """All blocked URLs lie inside the calibration fold, or outside it: undecided URLs are judged all the same."""
+    blocked = [f"http://bad{i}.net/{w}" for i in range(60) for w in ("win", "prize")]
+    frame = spark.createDataFrame([(u,) for u in blocked], "url string").withColumn("f", F.pmod(F.xxhash64("url"), F.lit(url_filter.FOLDS)))
+    blocked = [r["url"] for r in frame.where("f = 0" if held else "f <> 0").collect()][:5]
+    urls = blocked + [f"http://good{i}.org/fr/{w}" for i in range(20) for w in ("news", "page")] + ["http://bad7.com/prize", "http://good7.com/fr/news"]
+    rows = url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")).collect()
+    got = {r["url"]: (r["rule"], r["verdict"], r["score"] is None) for r in rows}
+    assert got["http://bad7.com/prize"] == (None, "block", False) and got["http://good7.com/fr/news"] == (None, "allow", False)
+
+
 # Secrets
 
 
@@ -216,6 +228,35 @@ def test_automata_equal_edit_distance():
         assert (got[word][1] if word in got else None) == (min(reach) if reach else None), word
 
 
+def test_families_of_forms_are_narrowed_as_defined():
+    """Held against the definition, form against form."""
+    draw = random.Random(5)
+    for _ in range(200):
+        words = {"".join(draw.choice("ab") for _ in range(draw.randrange(3, 13))) for _ in range(12)}
+        forms = {f for w in words for f in (w, *(w[:n] + "*" for n in toxicity.STEM_LETTERS if len(w) >= n))}
+        found = {f: (draw.randrange(3, 60), draw.uniform(2.5, 8)) for f in sorted(forms) if draw.random() < 0.6}
+        kept = {}
+        for form in found:
+            longer = [f for f in found if f != form and form.endswith("*") and f.startswith(form[:-1])]
+            if not any(found[f][0] >= 0.95 * found[form][0] for f in longer):
+                kept[form] = found[form]
+        stems = {f[:-1]: odds for f, (_, odds) in kept.items() if f.endswith("*")}
+        want = set()
+        for form, (_, odds) in kept.items():
+            text = form.rstrip("*")
+            if not any(text.startswith(s) and form != s + "*" and odds < of_stem + 2 for s, of_stem in stems.items()):
+                want.add((text, form.endswith("*"), odds))
+        assert {(t.text, t.stem, t.weight) for t in toxicity.narrowed(found)} == want
+
+
+def test_rare_terms_pass_on_evidence_alone(spark):
+    """Three toxic texts of 400 hold the term, under a hundredth, and no clean one."""
+    clean = "the house stands by the river and the people walk along the road to the market every day"
+    rows = [(f"{clean} {i}" + " brakzul" * 5 if i < 3 else f"{clean} {i} grimvock grimvock", 1) for i in range(400)] + [(f"{clean} {i}", 0) for i in range(1_200)]
+    terms = {t.text for t in toxicity.learn_terms(spark.createDataFrame(rows, "text string, toxic int"))}
+    assert any("brakzul".startswith(t) for t in terms) and any("grimvock".startswith(t) for t in terms)
+
+
 def test_quotation_weighs_less_than_abuse():
     scorer = toxicity.Scorer([toxicity.Term("idiot", False, 4.0)])
     abuse, quoted, none = scorer.features(["you idiot!", 'he said "idiot" is a word', ""])

@@ -49,6 +49,31 @@ def test_nearest_equals_brute_force(spark, places, radius, limit, crowd, monkeyp
     assert got == brute_nearest(places, radius, limit)
 
 
+def test_nearest_writes_no_pairs(spark, places, monkeypatch):
+    """Few plans however deep a crowd is: the cells were refined level by level, each written, and pairs were shuffled."""
+    from lodgeframe.operators import nearest as module
+
+    cuts = []
+    monkeypatch.setattr(module, "cut_lineage", lambda df: cuts.append(1) or df.checkpoint())
+    crowd = places.assign(lat=10.0 + places.index % 31 * 1e-7, lon=20.0 + places.index // 31 * 1e-7)
+    df = spark.createDataFrame(crowd)
+    found = nearest(df, df, 5, 3, 8)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(cuts) <= 4 and "Window" not in plan
+    assert {(r["source_id"], r["id"], r["rank"]) for r in found.collect()} == brute_nearest(crowd, 5, 3)
+
+
+def test_nearest_of_sparse_sources_beside_a_crowd_and_repeated_rows(spark):
+    rng = np.random.default_rng(3)
+    crowd = pd.DataFrame({"id": [f"t{i}" for i in range(3000)], "lat": 10 + rng.normal(0, 0.002, 3000), "lon": 20 + rng.normal(0, 0.002, 3000)})
+    far = pd.DataFrame({"id": ["s1", "s2", "s2", None], "lat": [10.03, -40.0, 10.0, 10.0], "lon": [20.0, 20.0, 20.03, 20.0]})
+    rows = nearest(spark.createDataFrame(far), spark.createDataFrame(crowd), 5, 4, 16).collect()
+    got = {s: [r["id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["source_id"] == s] for s in ("s1", "s2")}
+    for s, (lat, lon) in {"s1": (10.03, 20.0), "s2": (10.0, 20.03)}.items():
+        here = pd.concat([pd.DataFrame({"id": [s], "lat": [lat], "lon": [lon]}), crowd.sort_values("id")], ignore_index=True)
+        assert got[s] == [here["id"][j] for i, j, _ in sorted(brute_nearest(here, 5, 4), key=lambda x: x[2]) if i == 0]
+
+
 def test_nearest_skips_rows_without_a_point(spark):
     df = spark.createDataFrame([(1, 10.0, 20.0), (2, 10.0, 20.001), (3, None, 20.0), (4, 95.0, 20.0)], "id int, lat double, lon double")
     rows = nearest(df, df, 5, 20).collect()

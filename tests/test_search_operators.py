@@ -233,6 +233,27 @@ def test_duplicates_equal_brute_force(spark, monkeypatch, distance_m, threshold,
     assert all(abs(got[k] - expected[k]) <= 1e-4 for k in got)
 
 
+def test_crowded_cell_is_copied_for_few_tiles(spark):
+    """5,000 listings a side at one address: each was copied once for every 1,024 of the other side, texts and all."""
+    sides = [spark.range(5000).selectExpr(f"concat('{p}', id) external_id", "'POINT (7 45)' latlon", "'House' property_name", "concat('a house ', id) property_description") for p in "op"]
+    contents = [duplicates._distinct_contents(duplicates._listing_contents(s, duplicates.FIELD_WEIGHTS), duplicates.FIELD_WEIGHTS, None) for s in sides]
+    copies = duplicates._tiled(*contents, 100).groupBy("_side", "content").count()
+    cells = len(duplicates._reached_cells(sides[1].limit(1).selectExpr("45d lat", "7d lon"), 400, 100.001).collect())
+    assert copies.agg(F.max("count")).first()[0] <= cells
+
+
+def test_duplicates_over_several_matrices_of_a_tile(spark, monkeypatch):
+    def side(p):
+        return spark.range(60).selectExpr(f"concat('{p}', id) external_id", "'POINT (7 45)' latlon", "concat('House ', id % 7) property_name", "concat('a house ', id) property_description", "'x' property_type", "'y' location_display", "1 bedroom_count", "2 bathroom_count")
+
+    def found():
+        return {tuple(r) for r in duplicates.find_duplicates(side("o"), side("p")).select("source_id", "candidate_id", "distance_m", "scores.overall_score").collect()}
+
+    whole = found()
+    monkeypatch.setattr(duplicates, "TILE_ROWS", 9)
+    assert found() == whole and len(whole) >= 60
+
+
 def test_crowded_block_compares_few_texts(spark):
     """3,000 by 3,000 listings at one address with one common name: the score bound leaves few descriptions to compare."""
     rng = np.random.default_rng(8)

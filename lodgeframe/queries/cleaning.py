@@ -18,7 +18,7 @@ from lodgeframe.operators.cleaning import (
     resolve_places,
     resolve_types,
 )
-from lodgeframe.queries.base import query, table
+from lodgeframe.queries.base import query, spread, table
 from lodgeframe.sources import lookups
 
 _STRIP_SQL = r"trim(regexp_replace(regexp_replace({0}, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))"
@@ -94,7 +94,7 @@ def slug(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slugs of whole texts in four languages and of short names."""
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("t"))
     names = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand").alias("t"))
-    return texts.unionByName(names).select("id", slugify(F.col("t")).alias("slug"))
+    return spread(texts.unionByName(names), 100).select("id", slugify(F.col("t")).alias("slug"))
 
 
 @query(
@@ -277,7 +277,7 @@ def blank_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def lookup_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup files' JSON shapes, one small document per row, read by the lookup parsers."""
-    part, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    part, k = spread(table(spark, sf_dir, "part")), F.col("p_partkey")
     key = k.cast("string")
 
     def obj(*pairs):
@@ -304,7 +304,7 @@ def lookup_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = F.concat(F.lit('{"property_type_mapping": {"mapped": [true, {"group_name": "unnamed"}, '), row, F.lit("]}}"))
     by_code = obj(quoted(F.concat(F.upper("p_name"), key)), F.lit(": "), quoted(F.col("p_brand")))
     codes = part.select(F.explode(F.from_json(by_code, "map<string,string>")).alias("key", "value"))
-    props = table(spark, sf_dir, "events").select(F.explode(F.from_json("props", "map<string,string>")).alias("code", "name"))
+    props = spread(table(spark, sf_dir, "events").select("props")).select(F.explode(F.from_json("props", "map<string,string>")).alias("code", "name"))
 
     def kind(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
         code, label, *category = columns

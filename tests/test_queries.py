@@ -44,3 +44,15 @@ def test_entry(spark):
 def test_plans_hold_no_all_pairs_join(spark, name):
     plan = entry_points.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_listings_of_one_small_file_are_derived_by_many_tasks(spark, tmp_path):
+    """A file of one split was derived, written and read again by one task."""
+    from lodgeframe.queries.base import listing_rows
+
+    spark.range(6000).selectExpr("id c_custkey", "concat('Customer ', id) c_name", "id % 3 c_nationkey", "'X' c_mktsegment", "1.5d c_acctbal").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(3).selectExpr("id n_nationkey", "concat('N', id) n_name", "0L n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(1).selectExpr("id r_regionkey", "'R' r_name").write.parquet(f"{tmp_path}/region.parquet")
+    listings = listing_rows(spark, str(tmp_path))
+    assert len(listings.inputFiles()) >= 4 and listings.count() == 6000
+    assert listings.select("external_id").distinct().count() == 6000

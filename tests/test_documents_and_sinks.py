@@ -271,3 +271,21 @@ def test_change_stream(spark, town, tmp_path):
     (events / "2.json").write_text('{"feed_provider_ids": ["2"]}\n{"feed_provider_ids": ["2"]}\n')
     run()
     assert {r["id"]: r["city"] for r in store.read().collect()} == {"BC-1": "Al Kut", "BC-2": "Moved"}
+
+
+def test_files_filled_in_few_steps_are_the_same(spark, monkeypatch):
+    """Runs of one small file each took a group and a written join for every doubling."""
+    from lodgeframe.operators import sitemap
+
+    blocks = spark.range(900).selectExpr("lpad(id, 5, '0') external_id", "repeat('x', cast(50 + id * 37 % 400 as int)) block")
+    cuts = []
+    monkeypatch.setattr(sitemap, "cut_lineage", lambda df: cuts.append(1) or df.checkpoint())
+
+    def filed():
+        cuts.clear()
+        return {(r["external_id"], r["position"], r["file_no"]) for r in sitemap.assign_files(blocks, 7, 2_000).collect()}, len(cuts)
+
+    few, steps = filed()
+    monkeypatch.setattr(sitemap, "RUN_ROWS", 1)
+    assert filed()[0] == few and len({f for _, _, f in few}) > 100
+    assert steps <= 5

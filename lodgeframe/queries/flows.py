@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from lodgeframe.operators.documents import search_documents
 from lodgeframe.plans.daily_sync import sync_day
-from lodgeframe.queries.base import LISTING_SQL, listing_rows, query, scratch, table
+from lodgeframe.queries.base import LISTING_SQL, listing_table, query, scratch, table
 from lodgeframe.sinks.keyed_store import KeyedStore
 from lodgeframe.sources.partner import partner_rows
-from lodgeframe.sources.paths import matches, rename
+from lodgeframe.sources.paths import matches, rename, rename_all
 from lodgeframe.sources.tables import VersionedTable
 from lodgeframe.streaming.change_events import run_change_stream
 
@@ -27,8 +27,7 @@ def _json_lists(rows: DataFrame, folder: str, per_file: int = 500) -> None:
 
 def _as_json_files(spark: SparkSession, folder: str, name: str) -> None:
     """Give the part files of a text write the names feed files have."""
-    for i, path in enumerate(matches(spark, f"{folder}/part-*")):
-        rename(spark, path, f"{folder}/{name}_{i:05d}.json")
+    rename_all(spark, {path: f"{folder}/{name}_{i:05d}.json" for i, path in enumerate(matches(spark, f"{folder}/part-*"))})
 
 
 def write_feeds(spark: SparkSession, sf_dir: str, root: str) -> None:
@@ -185,11 +184,12 @@ def _streamed(spark: SparkSession, sf_dir: str, root: str, runs: int) -> DataFra
     bad = F.concat(F.lit("{broken "), "event_type")
     lines = events.select(F.to_json(message).alias("value")).unionByName(events.select(bad.alias("value")))
     lines.repartition(4).write.text(f"{root}/events")
-    documents = search_documents(listing_rows(spark, sf_dir))
-    store = KeyedStore(spark, f"{root}/documents", ["id"], documents.schema, buckets=8)
+    # The listing table is written once; every batch reads its newest version anew.
+    listings = listing_table(spark, sf_dir)
+    store = KeyedStore(spark, f"{root}/documents", ["id"], search_documents(listings.read()).schema, buckets=8)
     for run in range(runs):
         stream = run_change_stream(
-            spark, f"{root}/events", lambda: listing_rows(spark, sf_dir), store, f"{root}/rejects", f"{root}/checkpoint-{run}", max_files=2
+            spark, f"{root}/events", listings.read, store, f"{root}/rejects", f"{root}/checkpoint-{run}", max_files=2
         )
         stream.awaitTermination()
     return store.read().select("id", "property_name", "city", "updated_at")

@@ -87,7 +87,7 @@ class KeyedStore:
         folder = f"data/{os.urandom(8).hex()}"
         placed = rows.select(*self.schema.names).withColumn("bucket", self._bucket(self.keys[0]))
         if base:
-            placed = placed.repartitionByRange("bucket")
+            placed = placed.repartitionByRange("bucket", *self.keys)  # a bucket may be many tasks
         placed.sortWithinPartitions("bucket", *self.keys).write.parquet(f"{self.root}/{folder}")
         number = max(self.log.numbers(), default=0) + 1
         entry = json.dumps({"folder": folder, "base": base, "buckets": self.buckets})

@@ -19,8 +19,10 @@ MAX_EVENT_FILES = 10
 def parse_events(lines: DataFrame) -> DataFrame:
     """``value`` (event text) with ``event``: NULL where the text is no JSON object."""
     parsed = F.from_json("value", f"{schemas.CHANGE_EVENT_DDL}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
-    is_object = F.ltrim("value").startswith("{") & parsed["_bad"].isNull()
-    return lines.select("value", F.when(is_object, parsed).alias("event"))
+    # Parsed in a projection of its own, so once for each text and not once for each mention.
+    read = lines.select("value", parsed.alias("_parsed"))
+    is_object = F.ltrim("value").startswith("{") & F.col("_parsed._bad").isNull()
+    return read.select("value", F.when(is_object, F.col("_parsed")).alias("event"))
 
 
 def event_ids(events: DataFrame) -> DataFrame:
@@ -46,7 +48,10 @@ def run_change_stream(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        events = parse_events(batch).persist()
+        # Kept of an event are its ids, or its text if it cannot be read.
+        unread = F.col("event").isNull()
+        ids = F.when(~unread, F.struct("event.feed_provider_ids"))
+        events = parse_events(batch).select(F.when(unread, F.col("value")).alias("value"), ids.alias("event")).persist()
         try:
             rejected = events.where(F.col("event").isNull()).select("value")
             rejected.write.mode("overwrite").json(f"{rejects_root}/batch={batch_id}")

@@ -56,3 +56,19 @@ def test_listings_of_one_small_file_are_derived_by_many_tasks(spark, tmp_path):
     listings = listing_rows(spark, str(tmp_path))
     assert len(listings.inputFiles()) >= 4 and listings.count() == 6000
     assert listings.select("external_id").distinct().count() == 6000
+
+
+def test_stream_replay_writes_the_listing_table_once(spark, tmp_path, monkeypatch):
+    """The table was derived and written anew for its schema and for every batch of every run."""
+    from lodgeframe.sources.tables import VersionedTable
+
+    spark.range(40).selectExpr("id c_custkey", "concat('Customer ', id) c_name", "id % 3 c_nationkey", "'X' c_mktsegment", "1.5d c_acctbal").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(3).selectExpr("id n_nationkey", "concat('N', id) n_name", "0L n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(1).selectExpr("id r_regionkey", "'R' r_name").write.parquet(f"{tmp_path}/region.parquet")
+    events = spark.range(60).selectExpr("timestamp'2024-01-02' ts", "if(id % 9 = 0, null, id % 30) user_id", "'view' event_type")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    written, write = [], VersionedTable.write
+    monkeypatch.setattr(VersionedTable, "write", lambda self, df: written.append(1) or write(self, df))
+    ids = sorted(r["id"] for r in entry_points.queries()["stream_replay"](spark, str(tmp_path)).collect())
+    assert len(written) == 1
+    assert ids == sorted(f"BC-{k}" for k in {n % 30 for n in range(60) if n % 9})

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lodgeframe import schemas
 from lodgeframe.operators.dedup import keep_last
-from lodgeframe.session import cut_lineage
+from lodgeframe.session import cut_lineage, handed_over, text_reading
 from lodgeframe.sources.paths import matches
 
 # The record buckets in the order in which later ones win.
@@ -90,17 +90,17 @@ def feed_records(spark: SparkSession, root: str, feed: str, day: str, bucket: st
     """Typed records of a feed, whichever of the three file shapes holds them.
 
     A file is a list of records, one record, or one record under ``rental_property``. Columns are those
-    of ``record_ddl`` plus ``_file`` and ``_pos`` for the order of arrival.
+    of ``record_ddl`` plus ``_file`` and ``_pos`` for the order of arrival. The files are read once, into reliable storage.
     """
     files = feed_files(spark, root, feed, day, bucket)
     names = spark.createDataFrame([], record_ddl).columns
     if not files:
         return spark.createDataFrame([], f"{record_ddl}, _file string, _pos bigint")
     ddl = f"{record_ddl}, rental_property struct<{_as_struct(spark, record_ddl)}>"
-    read = spark.read.schema(ddl).option("multiLine", True).json(files).select("*", *_record_order())
+    read = text_reading(spark).read.schema(ddl).option("multiLine", True).json(files).select("*", *_record_order())
     inner = F.col("rental_property")
     picked = [F.when(inner.isNotNull(), inner[n]).otherwise(F.col(n)).alias(n) for n in names]
-    return read.select(*picked, "_file", "_pos")
+    return handed_over(spark, read.select(*picked, "_file", "_pos"))
 
 
 def _as_struct(spark: SparkSession, ddl: str) -> str:

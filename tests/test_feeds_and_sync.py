@@ -284,3 +284,24 @@ def test_a_long_changelog_is_read_by_several_tasks(spark, tmp_path):
         assert ids.agg(F.count("*"), F.countDistinct("id"), F.min("id"), F.max("id")).first() == (200_000, 200_000, "id-0", "id-99999")
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def file_bytes(spark):
+    """Bytes that this process has read from files so far."""
+    return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+
+@pytest.mark.parametrize("source", ["partner", "search"])
+def test_numbers_and_objects_read_as_text_do_not_read_the_file_again(spark, tmp_path, source):
+    """The reader went back to the file for the characters of every number or object that was asked for as text."""
+    price = {"base": {"booker_currency": 12.5}}
+    rows = [{"id": n, "latlon": {"lat": 2.0, "lon": 1e-7}, "bedroom_count": 2.0, "price": price} for n in range(3000)]
+    path = put(tmp_path, f"search/{DAY}/changed/p.json", rows) or tmp_path / f"search/{DAY}/changed/p.json"
+    before = file_bytes(spark)
+    if source == "partner":
+        got = {r["id"]: (r["bedroom_count"], json.loads(r["latlon"])) for r in partner_rows(spark, str(path)).collect()}
+        assert got == {str(n): ("2.0", {"lat": 2.0, "lon": 1e-7}) for n in range(3000)}
+    else:
+        got = {r["id"]: r["price"] for r in feeds.search_prices(spark, str(tmp_path), DAY).collect()}
+        assert got == {str(n): 12.5 for n in range(3000)}
+    assert file_bytes(spark) - before < 8 * path.stat().st_size

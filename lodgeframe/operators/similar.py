@@ -3,9 +3,10 @@
 Three forms. ``similar_to`` answers for given ids: few queries travel to one scan of the corpus, each task keeping its
 own k best; more are dealt out in blocks that meet the corpus's blocks. ``similar_all`` answers for every vector,
 exactly: equal vectors are collapsed, the rest is divided around two levels of pivots, about the square root of the
-vectors in all. What is shuffled is a super-block, a part of a first-level pivot's vectors, and a vector is copied only
-once for each super-block within its reach; inside a pair of super-blocks the second level skips the cells that cannot
-hold a neighbour, by the triangle inequality on angles. ``similar_lsh`` is the approximate form for corpora where little
+vectors in all. What is shuffled is a super-block, a part of a first-level pivot's vectors as large as a task may hold.
+Two super-blocks meet once and are scored both ways, so a vector is copied only once for each super-block within its
+reach; inside a pair of super-blocks the second level skips the cells that cannot hold a neighbour, by the triangle
+inequality on angles. ``similar_lsh`` is the approximate form for corpora where little
 can be skipped: vectors meet only where they lie on the same side of all random hyperplanes of some table, so each is
 copied a fixed number of times. Blocks are scored as matrix products and hand on k rows per vector; no form writes
 out all pairs.
@@ -33,6 +34,11 @@ RANK_PLACES = 6
 # The most query vectors that one scan carries, and the rows of a block where both sides are dealt out.
 QUERY_GROUP = 2_000
 BLOCK_ROWS = 4_096
+# First-level pivots that deal the work out widely enough: 16 make 136 pairs.
+SUPERS = 16
+# Numbers of the vectors of a super-block, and scores that are held at once, where all vectors are compared.
+BLOCK_NUMBERS = 4_194_304
+SCORES_HELD = 4_194_304
 # Tables and hyperplanes of the approximate form: two vectors at cosine 0.9 share one of 24 tables of 8 planes in 99.9 % of pairs.
 TABLES, PLANES = 24, 8
 # Slack for the pruning bound: rounding of scores and of angles.
@@ -160,8 +166,7 @@ def _scan(corpus: DataFrame, held: pd.DataFrame, k: int, id_type: str) -> DataFr
 class Pivots:
     """Two levels of pivots: a bounded sample of unit vectors, some of which stand for the others nearest to them."""
 
-    def __init__(self, sample: np.ndarray):
-        supers = max(1, int(np.ceil(np.sqrt(len(sample)))))
+    def __init__(self, sample: np.ndarray, supers: int):
         self.supers = sample[:supers]
         of = (sample @ self.supers.T).argmax(axis=1)
         of[:supers] = np.arange(supers)
@@ -274,11 +279,24 @@ def _block_scores(q: pd.DataFrame, c: pd.DataFrame, keep: int) -> pd.DataFrame:
     return pd.DataFrame(dict(zip(_SCORED, (*values, np.concatenate([scores[i, p] for i, p in enumerate(picked)])))))
 
 
-def similar_all(vectors: DataFrame, k: int = 5, published_only: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _packed_scores(q: dict, rows: np.ndarray, c: dict, others: np.ndarray, keep: int) -> Iterator[pd.DataFrame]:
+    """One row for each of ``rows`` of ``q``: the ``keep`` best of ``others`` of ``c`` as lists."""
+    matrix, ids, numbers = c["unit"][others], c["first_id"][others], c["no"][others]
+    step = max(1, SCORES_HELD // len(others))
+    for begin in range(0, len(rows), step):
+        some = rows[begin : begin + step]
+        scores = _scores(q["unit"][some], matrix)
+        picked = _best(scores, ids, keep)
+        lists = [numbers[p] for p in picked], [ids[p] for p in picked], [scores[i, p] for i, p in enumerate(picked)]
+        yield pd.DataFrame(dict(zip(_SCORED, (q["no"][some], *lists))))
+
+
+def similar_all(vectors: DataFrame, k: int = 5, published_only: bool = True, block_rows: int | None = None) -> DataFrame:
     """For every vector the ``k`` most similar others: ``(source_id, id, rank, score)``, exact.
 
     ``vectors`` carries ``id, vector, published``, vectors of one length. Scores are rounded to six places before ranking and
-    ties go to the smaller id. The driver holds the pivots, as many as the square root of the distinct vectors.
+    ties go to the smaller id. The driver holds the pivots, as many as the square root of the distinct vectors. A super-block
+    has at most about ``block_rows`` vectors, by default ``BLOCK_NUMBERS`` numbers.
     """
     spark = vectors.sparkSession
     keep = k + 1
@@ -288,7 +306,10 @@ def similar_all(vectors: DataFrame, k: int = 5, published_only: bool = True, blo
     if total == 0:
         return _nothing(spark, id_type)
     sample = distinct.select("vector").orderBy(F.xxhash64("vector"), "key").limit(int(np.ceil(np.sqrt(total)))).toPandas()
-    pivots = Pivots(_matrix(sample["vector"]))
+    unit = _matrix(sample["vector"])
+    block_rows = block_rows or max(BLOCK_ROWS, BLOCK_NUMBERS // unit.shape[1])
+    # Each first-level pivot may cost every vector a copy, so there are no more than their blocks or the tasks ask for.
+    pivots = Pivots(unit, min(int(np.ceil(np.sqrt(len(unit)))), max(SUPERS, -(-total // block_rows))))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -296,8 +317,10 @@ def similar_all(vectors: DataFrame, k: int = 5, published_only: bool = True, blo
                 best, wide, cell, narrow = pivots.place(_matrix(batch["vector"]))
                 yield batch.assign(super=best.astype("int32"), wide=wide, cell=cell.astype("int32"), angle=narrow)
 
-    fields = f"key string, vector {vectors.schema['vector'].dataType.simpleString()}, first_id {id_type}, w bigint"
-    placed = cut_lineage(distinct.select("key", "vector", "first_id", "w").mapInPandas(assign, f"{fields}, super int, wide double, cell int, angle double"))
+    # A number stands for a key from here on; both lie in the written copy.
+    fields = f"no bigint, key string, vector {vectors.schema['vector'].dataType.simpleString()}, first_id {id_type}, w bigint"
+    numbered = distinct.select(F.monotonically_increasing_id().alias("no"), "key", "vector", "first_id", "w")
+    placed = cut_lineage(numbered.mapInPandas(assign, f"{fields}, super int, wide double, cell int, angle double"))
 
     in_corpus = F.col("first_id").isNotNull()
     corpus = placed.where(in_corpus)
@@ -308,33 +331,63 @@ def similar_all(vectors: DataFrame, k: int = 5, published_only: bool = True, blo
         F.max("wide").alias("queries"), F.max(F.when(in_corpus, F.col("wide"))).alias("held"), F.ceil(F.count("*") / block_rows).cast("int").alias("parts")
     ).collect()
     reach = Reach(pivots, cells, nearest, keep)
-    pairs = reach.supers(pivots, {r["super"]: r["queries"] for r in blocks}, {r["super"]: r["held"] for r in blocks if r["held"] is not None})
+    pairs = set(reach.supers(pivots, {r["super"]: r["queries"] for r in blocks}, {r["super"]: r["held"] for r in blocks if r["held"] is not None}))
     parts = {r["super"]: r["parts"] for r in blocks}
-    # One row for each pair of first-level pivots, whose number is the fourth root of the vectors.
-    wanted = F.broadcast(spark.createDataFrame([(q, c, parts[q], parts[c]) for q, c in pairs] or [(-1, -1, 1, 1)], "q_super int, c_super int, q_parts int, c_parts int"))
-
-    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
-        met = df.withColumnRenamed("super", f"{own}_super").join(wanted, f"{own}_super")
-        met = met.withColumn(f"{own}_part", F.pmod(F.xxhash64("key"), F.col(f"{own}_parts")).cast("int"))
-        return met.withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1)))
-
-    block = ["q_super", "q_part", "c_super", "c_part"]
-    q_side = dealt(placed, "q", "c").select(*block, "cell", "key", "vector")
-    c_side = dealt(corpus, "c", "q").select(
-        *block, F.col("cell").alias("c_cell"), F.col("key").alias("c_key"), F.col("vector").alias("c_vector"), F.col("first_id").alias("c_first_id")
+    # One row for each side of each pair of first-level pivots, whose number is at most the fourth root of the vectors.
+    sides = {(a, b, side) for a, b in ((min(p), max(p)) for p in pairs) for side in (0, 1) if side == 0 or a != b}
+    met = [((a, b)[side], a, b, side, parts[(a, b)[1 - side]]) for a, b, side in sides]
+    wanted = F.broadcast(spark.createDataFrame(met or [(-1, -1, -1, 0, 1)], "super int, a int, b int, side int, other_parts int"))
+    own_parts = F.broadcast(spark.createDataFrame(sorted(parts.items()), "super int, parts int"))
+
+    # The parts of one super meet each other and themselves: the lower one is the first side.
+    own = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
+    dealt = placed.join(own_parts, "super").withColumn("own", own).join(wanted, "super")
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)))
+    first = (F.col("side") == 0) & ((F.col("a") != F.col("b")) | (F.col("own") <= F.col("other")))
+    block = ["a", "b", "a_part", "b_part"]
+    rows = dealt.select(
+        "a",
+        "b",
+        F.when(first, F.col("own")).otherwise(F.col("other")).alias("a_part"),
+        F.when(first, F.col("other")).otherwise(F.col("own")).alias("b_part"),
+        F.when(first, 0).otherwise(1).alias("side"),
+        "no",
+        "cell",
+        in_corpus.alias("held"),
+        # Never NULL, as a column of numbers with NULLs loses digits on its way.
+        F.coalesce("first_id", F.lit("0").cast(id_type)).alias("first_id"),
+        "vector",
     )
 
-    def score_blocks(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+    def score_blocks(both: pd.DataFrame) -> pd.DataFrame:
+        a, b = int(both["a"].iloc[0]), int(both["b"].iloc[0])
+        alone = a == b and int(both["a_part"].iloc[0]) == int(both["b_part"].iloc[0])
+        held = {}
+        for side, part in both.groupby("side"):
+            columns = {c: part[c].to_numpy() for c in ("no", "cell", "held", "first_id")}
+            held[side] = columns | {"unit": _matrix(part["vector"])}
+        ways = [(0, 0)] if alone else [(q, c) for q, c in ((0, 1), (1, 0)) if ((a, b)[q], (a, b)[c]) in pairs]
         found = []
-        present = np.unique(c["c_cell"].to_numpy()) if len(c) else np.zeros(0, int)
-        for cell, own in q.groupby("cell") if len(present) else ():
-            others = c[c["c_cell"].isin(reach.cells(pivots, int(cell), present))]
-            if len(others):
-                found.append(_block_scores(own, others, keep))
+        for q, c in ways:
+            if q not in held or c not in held:
+                continue
+            able = held[c]["held"].astype(bool)
+            present = np.unique(held[c]["cell"][able])
+            for cell in np.unique(held[q]["cell"]) if len(present) else ():
+                others = np.flatnonzero(able & np.isin(held[c]["cell"], reach.cells(pivots, int(cell), present)))
+                if len(others):
+                    found += _packed_scores(held[q], np.flatnonzero(held[q]["cell"] == cell), held[c], others, keep)
         return pd.concat(found) if found else pd.DataFrame(columns=_SCORED)
 
-    scored = q_side.groupBy(*block).cogroup(c_side.groupBy(*block))
-    return _listed(keyed, members, scored.applyInPandas(score_blocks, f"q_key string, c_key string, first_id {id_type}, score double"), k)
+    packed = f"q_key bigint, c_key array<bigint>, first_id array<{id_type}>, score array<double>"
+    # A block is much work for its bytes, so blocks are not gathered in tasks by size.
+    meetings = sum(parts[a] * (parts[a] + 1) // 2 if a == b else parts[a] * parts[b] for a, b in {(min(p), max(p)) for p in pairs})
+    lists = rows.repartition(max(1, min(meetings, 4_096)), *block).groupBy(*block).applyInPandas(score_blocks, packed)
+    # Dealt by query while still one row for each block, and taken apart behind the shuffle.
+    scored = lists.repartition("q_key").select("q_key", F.inline(F.arrays_zip("c_key", "first_id", "score")))
+    numbers = placed.select("key", "no")
+    by_number = [df.join(numbers, "key").drop("key").withColumnRenamed("no", "key") for df in (keyed, members)]
+    return _listed(*by_number, scored, k)
 
 
 def plane_signs(length: int, first: int, count: int) -> np.ndarray:

@@ -118,6 +118,34 @@ def triples(df):
     return {(r["source_id"], r["id"], r["rank"]) for r in df.collect()}
 
 
+def test_super_blocks_meet_once_and_hand_on_one_row_a_query(spark, monkeypatch):
+    """Both sides were copied for each ordered pair of super-blocks, and every candidate was a row with two long keys."""
+    from lodgeframe.operators import similar
+
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(900, 8))
+    frame = spark.createDataFrame([(2**60 + n, [float(x) for x in v], n % 3 > 0) for n, v in enumerate(points)], "id long, vector array<double>, published boolean")
+    seen, apply = [], type(frame.groupBy("id")).applyInPandas
+
+    def counted(grouped, fn, schema):
+        out = apply(grouped, fn, schema)
+        if "c_key" in schema:
+            seen.append((grouped._df.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(type(frame.groupBy("id")), "applyInPandas", counted)
+    got = {}
+    for r in similar.similar_all(frame, 4, False).collect():
+        got.setdefault(r["source_id"], {})[r["rank"]] = r["id"]
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    scores = np.round(unit @ unit.T, 6)
+    np.fill_diagonal(scores, -2)
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :4]
+    assert got == {2**60 + n: {i + 1: 2**60 + int(j) for i, j in enumerate(row)} for n, row in enumerate(best)}
+    # 30 pivots, of which 6 are of the first level: at most 6 copies of a vector and 6 rows of a query.
+    assert seen and all(copies <= 900 * 6 and rows <= 900 * 6 for copies, rows in seen)
+
+
 @pytest.mark.parametrize("published_only, block_rows", [(True, 4096), (False, 16)])
 def test_similar_all_equals_brute_force(spark, vectors, published_only, block_rows):
     assert triples(similar_all(vector_table(spark, vectors), 5, published_only, block_rows)) == brute_similar(vectors, 5, published_only)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodgeframe.operators.documents import nearby_points
 from lodgeframe.operators.nearest import nearest, within_radius
 from lodgeframe.operators.similar import similar_all, similar_to
+from lodgeframe.session import cut_lineage
 
 _SHOWN = ["id", "property_name", "city", "country", "usd_price", "star_rating"]
 
@@ -33,6 +34,8 @@ def nearby_listings(
 
 def similar_listings(points: DataFrame, ids: DataFrame | None = None, k: int = 5, published_only: bool = True) -> DataFrame:
     """Payload and score of the ``k`` most similar listings per source (all, or those in ``ids.id``)."""
+    # Read for keys, members, vectors and payloads.
+    points = cut_lineage(points.select("vector", "payload"))
     vectors = points.select(F.col("payload.external_id").alias("id"), "vector", F.coalesce("payload.published", F.lit(False)).alias("published"))
     found = similar_all(vectors, k, published_only) if ids is None else similar_to(vectors, ids, k, published_only)
     payloads = points.select(F.col("payload.external_id").alias("id"), "payload")

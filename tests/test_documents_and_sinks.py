@@ -289,3 +289,18 @@ def test_files_filled_in_few_steps_are_the_same(spark, monkeypatch):
     monkeypatch.setattr(sitemap, "RUN_ROWS", 1)
     assert filed()[0] == few and len({f for _, _, f in few}) > 100
     assert steps <= 5
+
+
+def test_similar_listings_reads_its_points_once(spark):
+    """Points, a join of documents and vectors, were made anew for keys, members, vectors and payloads."""
+    made = spark.sparkContext.accumulator(0)
+
+    def vector(n):
+        made.add(1)
+        return [float(n % 7 + 1), float(n % 5), 1.0]
+
+    payload = F.struct(F.concat(F.lit("BC-"), F.col("id").cast("string")).alias("external_id"), (F.col("id") % 3 > 0).alias("published"))
+    points = spark.range(60).select(F.udf(vector, "array<double>")("id").alias("vector"), payload.alias("payload"))
+    found = similar_listings(points, k=2).collect()
+    assert len(found) == 120 and all(r["published"] for r in found)
+    assert made.value <= 120

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lodgeframe import schemas
 from lodgeframe.operators.dedup import keep_last
-from lodgeframe.session import cut_lineage, handed_over, text_reading
+from lodgeframe.session import cut_lineage, handed_over, own_session, text_reading
 from lodgeframe.sources.paths import matches
 
 # The record buckets in the order in which later ones win.
@@ -137,10 +137,7 @@ def _records_by_key(spark: SparkSession, files: list[str]) -> DataFrame:
 
 def _telling_case_apart(spark: SparkSession) -> SparkSession:
     """A session of the same application in which names that differ in case are different; the caller's stays as it is."""
-    own = spark.newSession()
-    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    own.conf.set("spark.sql.caseSensitive", True)
-    return own
+    return own_session(spark, **{"spark.sql.caseSensitive": True})
 
 
 def _records_by_element(spark: SparkSession, files: list[str]) -> DataFrame:

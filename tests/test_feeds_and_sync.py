@@ -305,3 +305,16 @@ def test_numbers_and_objects_read_as_text_do_not_read_the_file_again(spark, tmp_
         got = {r["id"]: r["price"] for r in feeds.search_prices(spark, str(tmp_path), DAY).collect()}
         assert got == {str(n): 12.5 for n in range(3000)}
     assert file_bytes(spark) - before < 8 * path.stat().st_size
+
+
+def test_many_feed_files_are_not_listed_by_a_task_each(spark, tmp_path):
+    for n in range(60):
+        put(tmp_path, f"search/{DAY}/changed/p{n:02d}.json", [{"id": n, "price": {"base": {"booker_currency": "1.5"}}}])
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    sc.setJobGroup("listing", "files of one feed")
+    try:
+        assert feeds.search_prices(spark, str(tmp_path), DAY).count() == 60
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < max(s.numTasks for s in stages if s) < 60

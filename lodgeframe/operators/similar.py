@@ -166,7 +166,8 @@ def _scan(corpus: DataFrame, held: pd.DataFrame, k: int, id_type: str) -> DataFr
 class Pivots:
     """Two levels of pivots: a bounded sample of unit vectors, some of which stand for the others nearest to them."""
 
-    def __init__(self, sample: np.ndarray, supers: int):
+    def __init__(self, sample: np.ndarray, supers: int | None = None):
+        supers = supers or max(1, int(np.ceil(np.sqrt(len(sample)))))
         self.supers = sample[:supers]
         of = (sample @ self.supers.T).argmax(axis=1)
         of[:supers] = np.arange(supers)

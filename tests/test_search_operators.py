@@ -270,6 +270,35 @@ def test_crowded_cell_is_copied_for_few_tiles(spark):
     assert copies.agg(F.max("count")).first()[0] <= cells
 
 
+def test_duplicate_pairs_are_not_shuffled(spark):
+    """Each pair was shuffled twice for the ids of its listings, and each text once more than for its tile."""
+    found = duplicates.find_duplicates(*(spark.createDataFrame(made_up_side(np.random.default_rng(k), 40, p), FIELDS) for k, p in enumerate("AB")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Exchange hashpartitioning")
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_tiles_grow_where_a_cell_would_be_copied_often(spark, monkeypatch):
+    monkeypatch.setattr(duplicates, "TILE_ROWS", 4)
+    sides = [spark.range(300).selectExpr(f"concat('{p}', id) external_id", "'POINT (7 45)' latlon", "concat('a house ', id) property_description") for p in "op"]
+    contents = [duplicates._distinct_contents(duplicates._listing_contents(s, duplicates.FIELD_WEIGHTS), duplicates.FIELD_WEIGHTS, None) for s in sides]
+    cells = len(duplicates._reached_cells(sides[1].limit(1).selectExpr("45d lat", "7d lon"), 400, 100.001).collect())
+    # 300 listings are 10 tiles of 32, but 3 of 128.
+    assert duplicates._tiled(*contents, 100).where("_side = 0").groupBy("content").count().agg(F.max("count")).first()[0] == 3
+    assert duplicates._tiled(*contents, 100).where("_side = 1").groupBy("content").count().agg(F.max("count")).first()[0] <= 3 * cells
+
+
+def test_equal_listings_give_all_their_pairs(spark):
+    """Equal listings are collapsed in their tile; each pair of ids is a row, repeated and missing ids too."""
+    same = ("'POINT (7 45)' latlon", "'House' property_name", "'A house' property_description", "'x' property_type", "'y' location_display", "'z' other_policy", "1 bedroom_count", "2 bathroom_count")
+    own = spark.range(150).selectExpr("CASE WHEN id > 0 THEN concat('o', id % 140) END external_id", *same)
+    partner = spark.range(120).selectExpr("concat('p', id) external_id", *same)
+    found = duplicates.find_duplicates(own, partner)
+    pairs = Counter((r["source_id"], r["candidate_id"]) for r in found.collect())
+    ids = Counter(f"o{i % 140}" if i else None for i in range(150))
+    assert pairs == {(s, f"p{c}"): n for s, n in ids.items() for c in range(120)}
+
+
 def test_duplicates_over_several_matrices_of_a_tile(spark, monkeypatch):
     def side(p):
         return spark.range(60).selectExpr(f"concat('{p}', id) external_id", "'POINT (7 45)' latlon", "concat('House ', id % 7) property_name", "concat('a house ', id) property_description", "'x' property_type", "'y' location_display", "1 bedroom_count", "2 bathroom_count")

@@ -291,6 +291,40 @@ def test_files_filled_in_few_steps_are_the_same(spark, monkeypatch):
     assert steps <= 5
 
 
+def test_many_short_sitemaps_are_read_by_few_tasks(spark, tmp_path):
+    """Each few files were a task of their own, some 7,000 of them over 28,000 files."""
+    from lodgeframe.queries import QUERIES
+
+    spark.range(4000).selectExpr("id c_custkey", "concat('Name ', id) c_name", "int(id % 2) c_nationkey", "double(id) c_acctbal", "'BUILDING' c_mktsegment").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(2).selectExpr("int(id) n_nationkey", "concat('N', id) n_name", "0 n_regionkey").coalesce(1).write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(1).selectExpr("int(id) r_regionkey", "'R' r_name").write.parquet(f"{tmp_path}/region.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        found = QUERIES["sitemap_written"](spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() <= 3 * spark.sparkContext.defaultParallelism < found.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_files_are_moved_several_at_once(spark, tmp_path):
+    from lodgeframe.sources.paths import matches, rename_all
+
+    (tmp_path / "from").mkdir()
+    (tmp_path / "to").mkdir()
+    for i in range(40):
+        (tmp_path / "from" / f"a, {i}").write_text(str(i))
+    (tmp_path / "to" / "7").write_text("old")
+    found = matches(spark, f"{tmp_path}/from/*")
+    assert len(found) == 40 and found == sorted(found)
+    rename_all(spark, {p: f"{tmp_path}/to/{p.rsplit(' ', 1)[1]}" for p in found})
+    assert {p.name: p.read_text() for p in (tmp_path / "to").iterdir() if not p.name.startswith(".")} == {str(i): str(i) for i in range(40)}
+    assert matches(spark, f"{tmp_path}/from/*") == [] and matches(spark, f"{tmp_path}/none/*") == []
+    rename_all(spark, {})
+    with pytest.raises(Exception, match="from/a|could not move"):
+        rename_all(spark, {found[0]: f"{tmp_path}/to/again"})
+
+
 def test_similar_listings_reads_its_points_once(spark):
     """Points, a join of documents and vectors, were made anew for keys, members, vectors and payloads."""
     made = spark.sparkContext.accumulator(0)
